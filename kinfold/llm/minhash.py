@@ -277,24 +277,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
         links = durable(links.unionByName(verify(docs, apart, size, percent)))
         comp = durable(components(links))
     release(spark)
+    done, last, drawn = 0, 1, None
+    # Buckets of three or more: their pairs have not all been tried. Ranks stay as they are first drawn.
     wide = banded.join(hubs.where("k > 2").select("key"), "key")
-    done, last = 0, 1
     while done < last:
-        held = wide.join(comp.select(F.col("node").alias("rid"), "component"), "rid", "left").select("key", "band", "rid", "n", F.coalesce("component", "rid").alias("c"))
+        held = durable(wide.join(comp.select(F.col("node").alias("rid"), "component"), "rid", "left").select(*wide.columns, F.coalesce("component", "rid").alias("c")))
         split = held.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
         open_ = durable(held.join(durable(split), "key"))
-        if done == 0:  # ranks stay as they are first drawn: members of a bucket's small groups come before those of its largest
+        if drawn is None:  # members of a bucket's small groups come before those of its largest
             sizes = open_.groupBy("key", "c").agg(F.count("*").alias("s"))
             top = sizes.groupBy("key").agg(F.max(F.struct("s", "c")).alias("x")).select("key", F.col("x.c").alias("c"), F.lit(True).alias("top"))
             drawn = open_.join(sizes, ["key", "c"]).join(top, ["key", "c"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("s", "c", "rid")))
-            drawn = durable(drawn.select("key", "rid", "rank", F.coalesce("top", F.lit(False)).alias("top")))
+            open_ = drawn = durable(drawn.select("key", "band", "rid", "n", "c", "rank", F.coalesce("top", F.lit(False)).alias("top")))
             last = drawn.where("not top").agg(F.max("rank")).first()[0] or 0
-        now = open_.join(drawn.select("key", "rid", "rank"), ["key", "rid"]).where(F.col("rank") > done)
-        found = durable(search(docs, nodes, now, done + HUBS, size, percent))
+        found = durable(search(docs, nodes, open_.drop("top"), done + HUBS, size, percent))
         if not found.isEmpty():
             links = durable(links.unionByName(found))
             comp = durable(components(links))
         done += HUBS
+        # The next hubs are in the buckets that have members of small groups left; those before them have met everybody.
+        more = durable(drawn.where((F.col("rank") > done) & ~F.col("top")).select("key").distinct())
+        wide = drawn.where(F.col("rank") > done).join(more, "key").select("key", "band", "rid", "n", "rank", "top")
     release(spark)
     named = durable(reps.join(comp, reps["rid"] == comp["node"], "left").select("h1", "h2", F.coalesce("component", "rid").alias("c")))
     full = signed.select("doc_id", "n_shingles", "h1", "h2")
