@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, quality
+from . import decontam, minhash, quality, substring
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_decontaminate": lambda spark, d: decontam.op4_decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op6_minhash": lambda spark, d: minhash.op6_minhash(table(spark, d, "documents")),
+    "op7_substring": lambda spark, d: substring.op7_substring(table(spark, d, "documents")),
     "op10_quality": lambda spark, d: quality.op10_quality(table(spark, d, "documents"), table(spark, d, "labels")),
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_decontaminate": decontam.OP4_SQL}
