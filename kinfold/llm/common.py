@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,16 +10,27 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of a Python-side block: bounds what a worker holds at once, whatever the Arrow batch holds.
 BLOCK_ROWS, BLOCK_BYTES = 512, 4_000_000
 #: Entries that a worker's word memo holds before it starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 _own: dict[str, str] = {}
 
 
+#: Rows of an Arrow batch on its way to Python; Spark's own 10,000 whole texts would take hundreds of MB outside the heap.
+ARROW_ROWS = 512
+
+
+def tune(spark: SparkSession) -> None:
+    """Smaller Arrow batches in this session, unless it already has a size of its own."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) in (10_000, 0, -1):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,6 +50,17 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A value sent to the executors once, of any class: unlike a plain broadcast it needs no module of this package there."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self) -> object:
+        return pickle.loads(self.sent.value)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of finished jobs now, not when the driver next happens to collect garbage."""
     import gc

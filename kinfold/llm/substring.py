@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, durable, hashes, mix, release, row_key
+from .common import WordHashes, blocks, durable, hashes, mix, release, row_key, tune
 from .fmindex import FMIndex
 
 WINDOW, GRAM = 50, 7
@@ -104,6 +104,7 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for part, texts in blocks(batch):
             out: list[list] = [[] for _ in range(7)]
+            many = []
             for did, th, segs, text in zip(part.column("did").to_pylist(), part.column("th").to_pylist(), part.column("segs").to_pylist(), texts, strict=True):
                 words = (text or b"").split()
                 hot = [(x["start"], x["n"]) for x in segs if x["kind"] == 2]
@@ -114,11 +115,14 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
                 if hot:
                     h = hashes(words, memo)
                     at = np.concatenate([np.arange(s, s + n) for s, n in hot])
-                    one, two = (spans(h, at, at + window, powers, w).view(np.int64).tolist() for w in (0, 1))
-                    for col, v in zip(out, (one, two, [did] * len(at), [th] * len(at), at.tolist(), [1] * len(at), [None] * len(at)), strict=True):
-                        col.extend(v)
+                    one, two = (spans(h, at, at + window, powers, w).view(np.int64) for w in (0, 1))
+                    many.append((one, two, np.full(len(at), did), np.full(len(at), th), at.astype(np.int32), np.ones(len(at), np.int32)))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["k1", "k2", "did", "th", "start", "n", "words"])
+            names = ["k1", "k2", "did", "th", "start", "n", "words"]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=names)
+            if many:
+                cols = [pa.array(np.concatenate(c), k) for c, k in zip(zip(*many, strict=True), kinds, strict=False)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(cols[0]), pa.binary())], names=names)
 
 
 def repeated_windows(rows: list[bytes], window: int) -> list[np.ndarray]:
@@ -175,6 +179,7 @@ def _indexed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(did, th, runs): for each document (see row_key) with repeated windows, runs of (first window, number of windows)."""
     spark = docs.sparkSession
+    tune(spark)
     keyed = row_key(docs.select("doc_id", "text")).select("did", "th", "text")
     counted = docs.select("text").mapInArrow(lambda it: _anchors(it, window, True), "a long, s long").groupBy("a").agg(F.count("*").alias("k"), F.min("s").alias("lo"), F.max("s").alias("hi"))
     kind = F.when(F.col("lo") == F.col("hi"), 0).when(F.col("k") <= HOT, 1).otherwise(2)
