@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, durable, hashes, mix, release
+from .common import WordHashes, blocks, durable, hashes, mix, release, tune
 
 #: Bands and rows of a band. A pair at Jaccard 0.8 shares no band with probability (1 - 0.8^6)^48 < 5e-7.
 BANDS, ROWS = 48, 6
@@ -255,6 +255,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     (null if it is alone) and kept false. Rows that share a doc_id count as one node; ties have no effect.
     """
     spark = docs.sparkSession
+    tune(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = durable(docs.select("doc_id", "text").mapInArrow(lambda it: _signed(it, size, bands, rows), f"doc_id {kind}, n_shingles long, h1 long, h2 long, bands array<long>"))
     reps = durable(signed.where("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").cast("long").alias("rid")))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMO_WORDS, blocks, fold_of, labelled_sample, mix
+from .common import MEMO_WORDS, blocks, fold_of, labelled_sample, mix, tune
 
 #: log2 of the number of hash buckets, labelled documents that are learnt from at most, passes over them.
 BITS, FIT_ROWS, PASSES = 20, 12_000, 3
@@ -81,6 +81,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndarray, float]:
     """Weights and bias of P(quality = 1), from about `rows` labelled documents at most; all-zero weights without labels."""
+    tune(docs.sparkSession)
     sample = labelled_sample(docs, labels, "quality", rows)
     kind = sample.schema["doc_id"].dataType.simpleString()
     got = sample.mapInArrow(_vectors, f"doc_id {kind}, label int, b array<int>, x array<float>").toArrow().sort_by("doc_id")
@@ -104,6 +105,7 @@ def score(docs: DataFrame, weights: np.ndarray, cut: float) -> DataFrame:
     """
     from pyspark.sql.types import DoubleType, StructField, StructType
 
+    tune(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((weights, cut))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
