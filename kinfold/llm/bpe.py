@@ -11,6 +11,7 @@ from __future__ import annotations
 import json as json_
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,14 +20,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, tune
+from .common import MEMO_WORDS, blocks, tune
 
 #: Chunks are 2**CUT_BITS bytes long on average and LONGEST at most; a worker's memo holds MEMO_BYTES of them.
 CUT_BITS, LONGEST, MEMO_BYTES = 10, 1 << 16, 48_000_000
 BLANKS = b" \n\t"
-#: A normaliser that on plain text does no more than lower-case it: signs below U+0250 neither compose nor lower-case by context.
+#: A normaliser that on plain text does no more than lower-case it: signs below U+0250 neither compose
+#: nor lower-case by context (those that only some take for blanks are left out).
 _LOWERING = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
-_NOT_PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]|<\\|")
+_NOT_PLAIN = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u012f\u0131-\u024f]|<\\|")
 
 
 def cuts(text: bytes) -> list[int]:
@@ -83,13 +85,21 @@ class Coder:
         self.simple = self.tokenizer.decoder is None
         self.memo: dict[bytes, Chunk] = {}
         self.held = 0
+        self.words: dict[str, bytes] = {}
 
     def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Tokens of pieces that start and end at blanks. Plain ones are put together from their words, each encoded once."""
         whole = [t.decode() for t in texts]
         quick = [self.plain is not None and not _NOT_PLAIN.search(t) for t in whole]
-        fast = iter(self.plain.encode_batch_fast([t.lower() for t, q in zip(whole, quick, strict=True) if q], add_special_tokens=False) if any(quick) else ())
+        words = [t.lower().split() for t, q in zip(whole, quick, strict=True) if q]
+        if len(self.words) > MEMO_WORDS:
+            self.words.clear()
+        if new := [w for w in set().union(*words) if w not in self.words]:
+            for w, e in zip(new, self.plain.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                self.words[w] = array("I", e.ids).tobytes()
+        fast = iter([np.frombuffer(b"".join(map(self.words.__getitem__, w)), "<u4") for w in words])
         slow = iter(self.tokenizer.encode_batch_fast([t for t, q in zip(whole, quick, strict=True) if not q], add_special_tokens=False))
-        return [np.array(next(fast if q else slow).ids, dtype="<u4") for q in quick]
+        return [next(fast) if q else np.array(next(slow).ids, dtype="<u4") for q in quick]
 
     def _chunks(self, texts: list[bytes]) -> list[list[Chunk]]:
         if self.held > MEMO_BYTES:
