@@ -12,7 +12,7 @@ from kinfold.operators import graph, nr, propagate, reports
 from .registry import Tables, query
 
 _PAIRS = """c AS (SELECT item_id AS id, string_split(text, '') AS s FROM benchmark), w AS (SELECT DISTINCT id, array_to_string(s[i:i + 4], '') AS kmer FROM (SELECT id, s, unnest(range(1, len(s) - 3)) AS i FROM c WHERE len(s) >= 5)),
-v AS (SELECT * FROM w WHERE regexp_matches(kmer, '^[ACDEFGHIKLMNPQRSTVWYacdefghiklmnpqrstvwy]{5}$'), n AS (SELECT id, count(*) AS n FROM v GROUP BY id),
+v AS (SELECT * FROM w WHERE regexp_matches(kmer, '^[ACDEFGHIKLMNPQRSTVWYacdefghiklmnpqrstvwy]{5}$')), n AS (SELECT id, count(*) AS n FROM v GROUP BY id),
 p AS (SELECT a.id AS id1, b.id AS id2, count(*) AS n_common FROM v a JOIN v b ON a.kmer = b.kmer AND a.id < b.id GROUP BY ALL HAVING count(*) >= 5)"""
 
 
