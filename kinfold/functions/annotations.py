@@ -77,7 +77,7 @@ def clamp_byte(x: Column) -> Column:
 
 def gene_name(aliases: Column) -> Column:
     """Of comma-parted aliases: a locus tag if one is marked so, else a name of four letters, else the last without a prefix."""
-    each = F.transform(F.split(aliases, ","), F.trim)
+    each = F.transform(F.split(aliases, ","), lambda a: F.trim(a))
     locus = F.transform(F.filter(each, lambda a: a.rlike(r"^(locus\||LocusTag:)")), lambda a: F.regexp_replace(a, r"^(locus\||LocusTag:)", ""))
     gene = F.filter(each, lambda a: a.rlike("^[A-Za-z]{4}$"))
     plain = F.filter(each, lambda a: ~a.contains("|") & ~a.contains(":"))

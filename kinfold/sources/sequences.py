@@ -18,7 +18,7 @@ def parse_fasta(records: DataFrame) -> DataFrame:
     def keeps its leading blank; of the data only letters and * count, a * that opens a line not; records without an id are
     left out. Carriage returns are dropped.
     """
-    raw = F.regexp_replace(F.translate("value", "\r", ""), r"^\s*>?", "")
+    raw = F.regexp_replace(F.translate("value", "\r", ""), r"^>?", "")
     at = records.select(raw.alias("v"))
     head = F.regexp_extract("v", r"^([^\n]*)", 1)
     data = F.regexp_replace(F.col("v"), r"^[^\n]*\n?", "")
