@@ -128,7 +128,7 @@ def verify(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> DataFr
     groups = F.ceil(F.col("k") / STAR).cast("int")
     members = edges.join(count, "hub").select(F.col("member").alias("doc_id"), "hub", F.pmod(F.xxhash64("member"), groups).cast("int").alias("salt"), "member")
     hubs = count.select(F.col("hub").alias("doc_id"), "hub", F.explode(F.sequence(F.lit(0), groups - 1)).alias("salt"), F.lit(None).cast("long").alias("member"))
-    texts = members.unionByName(hubs).join(docs.select("doc_id", "text"), "doc_id")
+    texts = members.unionByName(hubs).join(docs.select("doc_id", "text").hint("merge"), "doc_id")
     sent = texts.select("hub", "salt", "member", "text").repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("member").asc_nulls_first())
     return sent.mapInArrow(lambda it: _verified(it, size, percent), "a long, b long")
 
@@ -180,7 +180,7 @@ def search(docs: DataFrame, nodes: DataFrame, open_: DataFrame, last: int, size:
     members = dealt.withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("groups")).cast("int")).withColumn("role", F.lit(1))
     lead = dealt.where(F.col("rank") <= last).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).withColumn("role", F.lit(0))
     rows = members.unionByName(lead).select("key", "salt", "role", "band", "rid", "n", "c", "rank").join(nodes.select("rid", "bands"), "rid")
-    texts = rows.join(docs.select(F.col("doc_id").cast("long").alias("rid"), "text"), "rid")
+    texts = rows.join(docs.select(F.col("doc_id").cast("long").alias("rid"), "text").hint("merge"), "rid")
     sent = texts.repartition("key", "salt").sortWithinPartitions("key", "salt", "role", "rank")
     return sent.mapInArrow(lambda it: _searched(it, size, percent), "a long, b long")
 
