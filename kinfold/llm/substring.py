@@ -4,8 +4,8 @@ Every window holds a least gram of GRAM words (its anchor), picked by content al
 The windows of a document that share an anchor form one segment. Segments whose anchor is nowhere else need no look. Where
 all segments of an anchor are equal, all their windows repeat. The others are dealt by anchor into shards; each shard gets a
 compressed FM-index (a wavelet matrix over the BWT), against which its segments are streamed by backward search.
-Anchors of more than HOT segments would swell a shard: their windows are counted by 128-bit hash instead, which adds
-up before the shuffle.
+Equal segments are one from the start. Anchors of more than HOT segments would swell a shard: the windows of their distinct
+segments are counted by 128-bit hash instead, which adds up before the shuffle.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, durable, hashes, mix, release, row_key, tune
+from .common import MEMO_WORDS, WordHashes, blocks, durable, hashes, mix, release, row_key, tune
 from .fmindex import FMIndex
 
 WINDOW, GRAM = 50, 7
@@ -99,85 +99,95 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, whole: bool) -> Ite
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The words of a text's unequal segments, and the window hashes of the hot ones."""
-    memo, powers = WordHashes(), Powers()
+    """A text's unequal segments: anchor, hash, place, and the words, once a task for each distinct segment."""
+    memo, powers, told = WordHashes(), Powers(), set()
     for batch in batches:
         for part, texts in blocks(batch):
-            out: list[list] = [[] for _ in range(7)]
-            many = []
+            out: list[list] = [[] for _ in range(8)]
             for did, th, segs, text in zip(part.column("did").to_pylist(), part.column("th").to_pylist(), part.column("segs").to_pylist(), texts, strict=True):
                 words = (text or b"").split()
-                hot = [(x["start"], x["n"]) for x in segs if x["kind"] == 2]
-                for x in segs:
-                    if x["kind"] == 1:
-                        for col, v in zip(out, (x["a"], None, did, th, x["start"], x["n"], b" ".join(words[x["start"] : x["start"] + x["n"] + window - 1])), strict=True):
-                            col.append(v)
-                if hot:
-                    h = hashes(words, memo)
-                    at = np.concatenate([np.arange(s, s + n) for s, n in hot])
-                    one, two = (spans(h, at, at + window, powers, w).view(np.int64) for w in (0, 1))
-                    many.append((one, two, np.full(len(at), did), np.full(len(at), th), at.astype(np.int32), np.ones(len(at), np.int32)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            names = ["k1", "k2", "did", "th", "start", "n", "words"]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=names)
-            if many:
-                cols = [pa.array(np.concatenate(c), k) for c, k in zip(zip(*many, strict=True), kinds, strict=False)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(cols[0]), pa.binary())], names=names)
-
-
-def repeated_windows(rows: list[bytes], window: int) -> list[np.ndarray]:
-    """For each segment (words joined by blanks) of a shard, which of its windows occur twice or more among the segments."""
+                start = np.array([x["start"] for x in segs])
+                n = np.array([x["n"] for x in segs])
+                hashed = spans(hashes(words, memo), start, start + n + window - 1, powers, 1).view(np.int64).tolist()
+                for x, s in zip(segs, hashed, strict=True):
+                    at, known = x["start"], (key := (x["a"], s)) in told
+                    told.add(key)
+                    for col, v in zip(out, (x["a"], s, did, th, at, x["n"], x["kind"] == 2, None if known else b" ".join(words[at : at + x["n"] + window - 1])), strict=True):
+                        col.append(v)
+            if len(told) > MEMO_WORDS:
+                told.clear()
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["a", "s", "did", "th", "start", "n", "hot", "words"])
+
+
+def repeated_windows(rows: list[bytes], counts: list[int], window: int) -> list[np.ndarray]:
+    """For each distinct segment (words joined by blanks) of a shard, which of its windows occur twice or more among the segments.
+
+    A segment that was met several times repeats whole; the others are streamed against the index of all.
+    """
     ids: dict[bytes, int] = {}
-    distinct: dict[bytes, int] = {}
-    count: list[int] = []
-    for r in rows:
-        k = distinct.setdefault(r, len(distinct))
-        if k == len(count):
-            count.append(0)
-        count[k] += 1
-    codes = [np.array([ids.setdefault(w, len(ids) + 1) for w in r.split(b" ")], np.int64) for r in distinct]
+    codes = [np.array([ids.setdefault(w, len(ids) + 1) for w in r.split(b" ")], np.int64) for r in rows]
     text = np.concatenate([x for c in codes for x in (c, [0])])
-    index = FMIndex(text, 2 * window)
     base = np.concatenate(([0], np.cumsum([len(c) + 1 for c in codes])))
-    alone = [k for k in range(len(codes)) if count[k] == 1]
-    ends = [base[k] + np.arange(window, len(codes[k]) + 1) for k in alone]
+    alone = [k for k in range(len(codes)) if counts[k] == 1]
     found = [np.ones(len(c) - window + 1, bool) for c in codes]
     if alone:
-        length = index.matching(text, np.concatenate(ends), window)
-        at = np.cumsum([len(e) for e in ends])[:-1]
-        for k, got in zip(alone, np.split(length >= window, at), strict=True):
+        ends = [base[k] + np.arange(window, len(codes[k]) + 1) for k in alone]
+        length = FMIndex(text, 2 * window).matching(text, np.concatenate(ends), window)
+        for k, got in zip(alone, np.split(length >= window, np.cumsum([len(e) for e in ends])[:-1]), strict=True):
             found[k] = got
-    return [found[distinct[r]] for r in rows]
+    return found
+
+
+def _runs(hit: np.ndarray) -> list[dict[str, int]]:
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
+    return [{"start": s, "n": e - s} for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
+
+
+_RUNS = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))
 
 
 def _indexed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by anchor: shards of bounded size, cut between anchors; yields the repeated windows as runs."""
+    """Distinct segments come sorted by anchor: shards of bounded size, cut between anchors; yields each one's repeated windows as runs."""
 
     def shard(rows: list[tuple]) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in range(4)]
-        for (_, did, th, start, _w), hit in zip(rows, repeated_windows([r[4] for r in rows], window), strict=True):
-            edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
-            for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-                for col, v in zip(out, (did, th, start + s, e - s), strict=True):
-                    col.append(v)
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())], names=["did", "th", "start", "n"])
+        found = repeated_windows([r[3] for r in rows], [r[2] for r in rows], window)
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([_runs(x) for x in found], _RUNS)], names=["a", "s", "runs"])
 
     held, words, last = [], 0, None
     for batch in batches:
         for part, texts in blocks(batch, "words"):
-            for row in zip(*(part.column(c).to_pylist() for c in ("k1", "did", "th", "start")), texts, strict=True):
+            for row in zip(*(part.column(c).to_pylist() for c in ("a", "s", "k")), texts, strict=True):
                 if row[0] != last and words >= SHARD_WORDS:
                     yield shard(held)
                     held, words = [], 0
                 last = row[0]
                 held.append(row)
-                words += row[4].count(b" ") + 1
+                words += row[3].count(b" ") + 1
     if held:
         yield shard(held)
 
 
+def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """The window hashes of distinct segments of hot anchors."""
+    memo, powers = WordHashes(), Powers()
+    for batch in batches:
+        for part, texts in blocks(batch, "words"):
+            got = []
+            for text in texts:
+                h = hashes(text.split(b" "), memo)
+                at = np.arange(len(h) - window + 1)
+                got.append((spans(h, at, at + window, powers, 0), spans(h, at, at + window, powers, 1), at.astype(np.int32)))
+            row = pa.array(np.repeat(np.arange(len(texts)), [len(g[2]) for g in got]))
+            one, two, at = (np.concatenate([g[i] for g in got]) for i in range(3))
+            yield pa.RecordBatch.from_arrays([_signed(one), _signed(two), pa.array(at), *(part.column(c).take(row) for c in ("a", "s", "k"))], names=["w1", "w2", "i", "a", "s", "k"])
+
+
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(did, th, runs): for each document (see row_key) with repeated windows, runs of (first window, number of windows)."""
+    """(did, th, runs): for each document (see row_key) with repeated windows, runs of (first window, number of windows).
+
+    Joins with texts always shuffle by the same keys (the hint), so that small inputs are worked on as large ones are.
+    """
     spark = docs.sparkSession
     tune(spark)
     keyed = row_key(docs.select("doc_id", "text")).select("did", "th", "text")
@@ -185,19 +195,25 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     kind = F.when(F.col("lo") == F.col("hi"), 0).when(F.col("k") <= HOT, 1).otherwise(2)
     met = durable(counted.where("k > 1").select("a", kind.alias("kind")))
     release(spark)
-    placed = keyed.mapInArrow(lambda it: _anchors(it, window, False), "a long, did long, th long, start int, n int").join(met, "a")
+    placed = keyed.mapInArrow(lambda it: _anchors(it, window, False), "a long, did long, th long, start int, n int").join(met.hint("merge"), "a")
     found = durable(placed.groupBy("did", "th").agg(F.collect_set(F.struct("start", "n", "kind", "a")).alias("segs")))
     release(spark)
     unequal = found.select("did", "th", F.filter("segs", lambda x: x["kind"] > 0).alias("segs")).where(F.size("segs") > 0)
-    cut = durable(keyed.join(unequal, ["did", "th"]).mapInArrow(lambda it: _cut(it, window), "k1 long, k2 long, did long, th long, start int, n int, words binary"))
+    cut = durable(keyed.join(unequal.hint("merge"), ["did", "th"]).mapInArrow(lambda it: _cut(it, window), "a long, s long, did long, th long, start int, n int, hot boolean, words binary"))
+    release(spark)
+    distinct = durable(cut.groupBy("a", "s").agg(F.count("*").alias("k"), F.first("words", ignorenulls=True).alias("words"), F.first("hot").alias("hot")))
+    shards = distinct.where("not hot").select("a", "s", "k", "words").repartition("a").sortWithinPartitions("a")
+    runs = "array<struct<start: int, n: int>>"
+    indexed = shards.mapInArrow(lambda it: _indexed(it, window), f"a long, s long, runs {runs}")
+    every = durable(distinct.where("hot").select("a", "s", "k", "words").mapInArrow(lambda it: _windows(it, window), "w1 long, w2 long, i int, a long, s long, k long"))
+    often = every.groupBy("w1", "w2").agg(F.sum("k").alias("all")).where(F.col("all") > 1).select("w1", "w2")
+    counted_hot = every.join(often, ["w1", "w2"]).groupBy("a", "s").agg(F.collect_set(F.struct(F.col("i").alias("start"), F.lit(1).alias("n"))).alias("runs"))
+    known = durable(indexed.unionByName(counted_hot).where(F.size("runs") > 0))
     release(spark)
-    shards = cut.where("words is not null").select("k1", "did", "th", "start", "words").repartition("k1").sortWithinPartitions("k1")
-    indexed = shards.mapInArrow(lambda it: _indexed(it, window), "did long, th long, start int, n int")
-    hot = cut.where("words is null").select("k1", "k2", "did", "th", "start", "n")
-    often = durable(hot.groupBy("k1", "k2").agg(F.count("*").alias("k")).where("k > 1").select("k1", "k2"))
-    counted_hot = hot.join(often, ["k1", "k2"]).select("did", "th", "start", "n")
+    back = cut.select("a", "s", "did", "th", "start").join(known, ["a", "s"])
+    back = back.select("did", "th", F.explode("runs").alias("r"), "start").select("did", "th", (F.col("start") + F.col("r.start")).alias("start"), F.col("r.n").alias("n"))
     equal = found.select("did", "th", F.explode(F.filter("segs", lambda x: x["kind"] == 0)).alias("x")).select("did", "th", "x.start", "x.n")
-    return durable(indexed.unionByName(counted_hot).unionByName(equal).groupBy("did", "th").agg(F.collect_set(F.struct("start", "n")).alias("runs")))
+    return durable(back.unionByName(equal).groupBy("did", "th").agg(F.collect_set(F.struct("start", "n")).alias("runs")))
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -233,7 +249,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     own = [f for f in docs.schema.fields if f.name not in ("n_words", "n_removed", "kept_text", "runs", "did", "th")]
     base = docs.select(*(F.col(f"`{f.name}`") for f in own))
-    joined = row_key(base).join(repeats(base, window), ["did", "th"], "left")
+    joined = row_key(base).join(repeats(base, window).hint("merge"), ["did", "th"], "left")
     kind = StructType([*own, StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_text", StringType())])
     return joined.select(*(F.col(f"`{f.name}`") for f in own), "runs").mapInArrow(lambda it: _kept(it, window), kind)
 
