@@ -144,7 +144,7 @@ def lpt_bins(t: Tables) -> DataFrame:
 _OLD = """old AS (SELECT l_orderkey * 10 + l_linenumber AS md5, l_partkey AS fam FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-01-01'),
 new AS (SELECT l_orderkey * 10 + l_linenumber AS md5, CASE WHEN l_quantity > 40 THEN l_partkey * 2 + 1 ELSE l_partkey * 2 END AS fam FROM lineitem WHERE l_partkey % 3 = 0
 UNION ALL SELECT l_orderkey * 10 + l_linenumber, -1 - l_partkey // 2 FROM lineitem WHERE l_partkey % 3 <> 0 AND l_shipdate >= TIMESTAMP '1996-01-01'),
-o AS (SELECT md5, min(fam) AS old_fam FROM old WHERE fam IN (SELECT fam FROM old GROUP BY fam HAVING count(*) >= 5) GROUP BY md5),
+o AS (SELECT md5, min(fam) AS old_fam FROM (SELECT md5, fam, count(*) OVER (PARTITION BY fam) AS c FROM old) WHERE c >= 2 GROUP BY md5),
 n AS (SELECT md5, min(fam) AS new_fam FROM (SELECT md5, fam, count(*) OVER (PARTITION BY fam) AS c FROM new) WHERE c >= 2 GROUP BY md5),
 b AS (SELECT n.new_fam, o.old_fam FROM n JOIN (SELECT DISTINCT md5 FROM old) USING (md5) LEFT JOIN o USING (md5)),
 w AS (SELECT new_fam, count(DISTINCT old_fam) AS k, count(*) FILTER (old_fam IS NULL) AS lost FROM b GROUP BY new_fam),
