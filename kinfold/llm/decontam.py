@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from .common import row_key
 
 WINDOW = 10
-#: Benchmark windows that are broadcast at most (about 150 bytes each); more are joined by a shuffle on their hash.
+#: Benchmark windows that are broadcast at most (about 150 bytes each); more are joined by a shuffle on
+#: two 64-bit hashes, which then stand for the comparison of words.
 BROADCAST_WINDOWS = 300_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What parts words: the ASCII signs other than digits and letters.
@@ -50,17 +51,23 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     """
     grams = benchmark_windows(benchmark, window)
     facts = grams.agg(F.count("*").alias("n"), F.collect_set("size").alias("sizes")).first()
-    small = F.broadcast if facts["n"] <= BROADCAST_WINDOWS else (lambda df: df)
+    small = facts["n"] <= BROADCAST_WINDOWS
     keyed = row_key(docs.select("doc_id", "text")).select("did", "th", words_of("text").alias("words"))
     found = None
     for size in sorted(facts["sizes"]) or [window]:
         own = grams.where(F.col("size") == size)
-        # Most places end at the set of opening words; the hash of the whole window is taken of the others alone.
-        head = own.select(_opening(F.split_part("gram", F.lit(" "), F.lit(1)), F.split_part("gram", F.lit(" "), F.lit(2)), size).alias("f")).distinct()
-        at = keyed.select("did", "th", "words", F.posexplode("words").alias("start", "word")).where(F.col("start") <= F.size("words") - size)
-        at = at.withColumn("f", _opening(F.col("word"), F.get("words", F.col("start") + 1), size)).join(small(head), "f", "left_semi")
         part = F.slice("words", F.col("start") + 1, size)
-        met = at.withColumn("h", F.xxhash64(part)).join(small(own), "h").where(F.concat_ws(" ", part) == F.col("gram"))
+        at = keyed.select("did", "th", "words", F.posexplode("words").alias("start", "word")).where(F.col("start") <= F.size("words") - size)
+        if small:
+            # Most places end at the set of opening words; the hash of the whole window is taken of the others alone. The words
+            # stay in the row for the comparison, which is free as long as nothing is shuffled.
+            head = own.select(_opening(F.split_part("gram", F.lit(" "), F.lit(1)), F.split_part("gram", F.lit(" "), F.lit(2)), size).alias("f")).distinct()
+            at = at.withColumn("f", _opening(F.col("word"), F.get("words", F.col("start") + 1), size)).join(F.broadcast(head), "f", "left_semi")
+            met = at.withColumn("h", F.xxhash64(part)).join(F.broadcast(own), "h").where(F.concat_ws(" ", part) == F.col("gram"))
+        else:  # rows that are shuffled hold hashes in place of words: a text's size times its own would go over the wire
+            gram = F.split("gram", " ")
+            twice = own.withColumn("h2", F.xxhash64(F.lit(1), gram)).drop("gram")
+            met = at.select("did", "th", "start", F.xxhash64(part).alias("h"), F.xxhash64(F.lit(1), part).alias("h2")).join(twice, ["h", "h2"])
         met = met.select("did", "th", F.struct("start", F.lit(size).alias("n")).alias("span"), "items")
         found = met if found is None else found.unionByName(met)
     return found.groupBy("did", "th").agg(F.sort_array(F.collect_set("span")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
