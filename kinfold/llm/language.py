@@ -76,7 +76,7 @@ class Model:
         lower: np.ndarray | None = None
         for order in range(ORDER + 1):
             counted = [np.unique(np.concatenate([grams(d, order + 1) for d in own] or [np.zeros(0, np.uint64)]), return_counts=True) for own in data]
-            codes = np.unique(np.concatenate([c for c, _ in counted]))
+            codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *(c for c, _ in counted)]))
             contexts = np.unique(codes >> np.uint64(8))
             table, places = Table(codes), Table(contexts)
             of = places.find(codes >> np.uint64(8))

@@ -216,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[dict[
         y0, y1 = F.col("n0") + share * d0, F.col("n1") + share * d1
         rest0, rest1 = d0 * (1 + mass / (d0 + d1)) - y0 + 1, d1 * (1 + mass / (d0 + d1)) - y1 + 1
         odds = F.log(y1 / rest1) - F.log(y0 / rest0)
-        best = n.select("unit", odds.alias("s"), (odds / F.sqrt(1 / y0 + 1 / y1)).alias("z")).where(F.col("z") >= least)
+        best = n.select("unit", odds.alias("s"), (odds / F.sqrt(1 / y0 + 1 / y1 + 1 / rest0 + 1 / rest1)).alias("z")).where(F.col("z") >= least)
         known = {r["unit"]: r["s"] for r in best.orderBy(F.col("z").desc(), "unit").limit(UNITS).collect()}
     shared = Shared(spark, known)
     found = sample.mapInArrow(lambda it: _found(it, shared), "label int, n long, segs array<double>, plus array<double>").collect()
