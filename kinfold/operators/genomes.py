@@ -49,3 +49,19 @@ def contained(features: DataFrame, regions: DataFrame, width: int) -> DataFrame:
     f = features.withColumn("slice", F.floor(F.col("start") / width))
     r = regions.withColumn("slice", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
     return f.join(r, ["key", "slice"]).where((F.col("start") >= F.col("lo")) & (F.col("end") <= F.col("hi"))).select("key", "feature", "region")
+
+
+def names(ids: DataFrame, *sources: DataFrame) -> DataFrame:
+    """(id, name): the name in the first source (id, name) that has one, nulls and empty names aside."""
+    out, found = ids.select("id"), []
+    for i, s in enumerate(sources):
+        one = s.groupBy("id").agg(F.min(F.nullif("name", F.lit(""))).alias(f"_{i}"))
+        out, found = out.join(one, "id", "left"), [*found, f"_{i}"]
+    return out.select("id", F.coalesce(*found).alias("name"))
+
+
+def matched(features: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Features and predictions by (accession, strand, end): both, only annotated, or only predicted."""
+    key = ["accession", "strand", "end"]
+    both = features.select(*key, F.col("id").alias("feature")).join(predictions.select(*key, F.col("id").alias("prediction")), key, "full_outer")
+    return both.withColumn("kind", F.when(F.col("prediction").isNull(), "annotated").when(F.col("feature").isNull(), "predicted").otherwise("both"))

@@ -211,3 +211,33 @@ def test_table_files(spark, tmp_path):
     table = spark.createDataFrame([("a", "new"), ("b", "new")], "fam string, status string")
     change = spark.createDataFrame([("a", "running", 1), ("a", "done", 2), ("c", "new", 1)], "fam string, status string, seq int")
     assert sorted(map(tuple, tables.upsert(table, change, "fam").collect())) == [("a", "done"), ("b", "new"), ("c", "new")]
+
+
+def test_report_counters(spark):
+    calls = spark.createDataFrame([(1, "a"), (2, "b")], "id int, function string")
+    truth = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a")], "id int, function string")
+    assert tuple(reports.validation(calls, truth).first()) == (1, 1, 1)
+    rows = spark.createDataFrame([("g", 1.0, 2.0), ("g", 2.0, 4.0), ("g", 3.0, 6.0)], "k string, x double, y double")
+    s = reports.spread(rows, "k", "x", "y").first()
+    assert (s["n"], s["mean"], round(s["r2"], 9), round(s["deviation"], 6)) == (3, 4.0, 1.0, round(4 / 3, 6))
+    bins = spark.createDataFrame([(0, [(5, 2), (9, 1)]), (1, [])], "bin int, elements array<struct<size:int,files:int>>")
+    acc = spark.createDataFrame([(0, "00:11:46")], "bin int, elapsed string")
+    assert sorted(map(tuple, reports.job_stats(bins, acc).collect())) == [(0, 2, 9, 2, 11 + 46 / 60), (1, 0, None, None, None)]
+
+
+def test_uniprot_report_and_cluster_difference(spark):
+    calls = spark.createDataFrame([(1, "x core_cid:1", 101.0), (2, "x core_cid:1", 100.0), (3, "other", 500.0)], "id int, function string, score double")
+    got = reports.named_calls(calls, spark.createDataFrame([(1, "N")], "id int, name string"), spark.createDataFrame([("x core_cid:1",)], "function string")).collect()
+    assert [tuple(r) for r in got] == [("x core_cid:1", 1, ["N"], 1)]
+    a = spark.createDataFrame([(1, "p"), (2, "q"), (2, "r")], "cluster int, member string")
+    b = spark.createDataFrame([(7, "p"), (7, "q"), (7, "s"), (8, "r")], "cluster int, member string")
+    assert [tuple(r) for r in reports.split_singletons(a, b).collect()] == [(7, "p")]
+
+
+def test_names_and_matches(spark):
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    one, two = spark.createDataFrame([(1, "a"), (2, "")], "id int, name string"), spark.createDataFrame([(1, "z"), (2, "b")], "id int, name string")
+    assert sorted(map(tuple, genomes.names(ids, one, two).collect())) == [(1, "a"), (2, "b"), (3, None)]
+    f = spark.createDataFrame([("f1", "c", "+", 9), ("f2", "c", "-", 9)], "id string, accession string, strand string, end int")
+    p = spark.createDataFrame([("p1", "c", "+", 9), ("p2", "c", "+", 12)], "id string, accession string, strand string, end int")
+    assert sorted((r["feature"] or "", r["prediction"] or "", r["kind"]) for r in genomes.matched(f, p).collect()) == [("", "p2", "predicted"), ("f1", "p1", "both"), ("f2", "", "annotated")]
