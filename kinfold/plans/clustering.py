@@ -127,7 +127,15 @@ def max_ids(t: Tables) -> DataFrame:
     return M.max_ids(t.supplier.select(F.concat(F.lit("N"), (F.col("s_nationkey") % 5).cast("string")).alias("genus"), F.col("s_nationkey").cast("long").alias("lfam"), F.col("s_suppkey").alias("gfam")))
 
 
-@query()
+@query("""WITH RECURSIVE l AS (SELECT DISTINCT p_type AS function, p_brand AS genus, p_size AS lfam, p_type || chr(1) || p_brand || chr(1) || lpad(p_size::VARCHAR, 20, '0') AS node FROM part WHERE p_type <> ''),
+c AS (SELECT DISTINCT p_type AS function, p_name || ':' || floor(p_retailprice / 2)::BIGINT AS cluster, p_brand AS genus, p_size AS lfam FROM part),
+e AS (SELECT lag(node) OVER (PARTITION BY function, cluster ORDER BY genus, lfam) AS a, node AS b FROM c JOIN l USING (function, genus, lfam)),
+u AS (SELECT a, b FROM e WHERE a IS NOT NULL UNION SELECT b, a FROM e WHERE a IS NOT NULL),
+r AS (SELECT node, node AS other FROM l UNION SELECT r.node, u.b FROM r JOIN u ON r.other = u.a),
+k AS (SELECT node, min(other) AS component FROM r GROUP BY node),
+s AS (SELECT component, function, count(*) AS n_lfams, count(DISTINCT genus) AS n_genera FROM k JOIN l USING (node) GROUP BY ALL),
+g AS (SELECT *, 'PGF_' || lpad((row_number() OVER (ORDER BY n_lfams = 1, function, component) - 1)::VARCHAR, 8, '0') AS gfam FROM s)
+SELECT gfam, l.function, genus, lfam, n_lfams, n_genera FROM k JOIN l USING (node) JOIN g USING (component)""")
 def global_merge(t: Tables) -> DataFrame:
     """Local families: (type, brand, size) of parts; clusters: parts of one name and price class."""
     locals_ = t.part.select(F.col("p_type").alias("function"), F.col("p_brand").alias("genus"), F.col("p_size").alias("lfam"))
@@ -135,7 +143,10 @@ def global_merge(t: Tables) -> DataFrame:
     return M.merge_global(clusters, locals_)
 
 
-@query()
+@query("""WITH RECURSIVE f AS (SELECT item, size, row_number() OVER (ORDER BY size DESC, item) AS n FROM (SELECT source || '/' || lang AS item, greatest(5000, sum(n_chars))::BIGINT AS size FROM documents GROUP BY source, lang)),
+r AS (SELECT ''::VARCHAR AS item, 0::BIGINT AS size, 0::BIGINT AS n, 0 AS bin, list_value(0::BIGINT, 0, 0, 0, 0, 0, 0, 0) AS loads UNION ALL
+SELECT f.item, f.size, f.n, (list_position(loads, list_min(loads)) - 1)::INTEGER, list_transform(loads, lambda x, i: CASE WHEN i = list_position(loads, list_min(loads)) THEN x + f.size ELSE x END) FROM r JOIN f ON f.n = r.n + 1)
+SELECT item, size, bin FROM r WHERE n > 0""")
 def lpt_bins(t: Tables) -> DataFrame:
     cost = t.documents.groupBy("source", "lang").agg(F.greatest(F.lit(5000), F.sum("n_chars")).cast("long").alias("size"))
     return graph.lpt_bins(cost.select(F.concat_ws("/", "source", "lang").alias("item"), "size"), 8)

@@ -115,7 +115,9 @@ def genomes_per_family(t: Tables) -> DataFrame:
     return g.join(F.broadcast(ranks), "n_genomes").select("fam", "n_genomes", (F.col("n_genomes") >= 15).alias("eligible"), "rank")
 
 
-@query()
+@query("""WITH RECURSIVE f AS (SELECT item, size, row_number() OVER (ORDER BY size DESC, item) AS n FROM (SELECT p_name AS item, count(*) AS size FROM part GROUP BY p_name)),
+r AS (SELECT item, size, n, 1 AS page, size AS held FROM f WHERE n = 1 UNION ALL SELECT f.item, f.size, f.n, CASE WHEN held + f.size > 100 THEN page + 1 ELSE page END, CASE WHEN held + f.size > 100 THEN f.size ELSE held + f.size END FROM r JOIN f ON f.n = r.n + 1)
+SELECT item, size, page FROM r""")
 def paginate(t: Tables) -> DataFrame:
     return reports.paginate(t.part.groupBy(F.col("p_name").alias("item")).agg(F.count("*").alias("size")), 100)
 
