@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import MEMO_WORDS, WordHashes, blocks, durable, hashes, mix, release, row_key, tune
@@ -183,6 +183,19 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([_signed(one), _signed(two), pa.array(at), *(part.column(c).take(row) for c in ("a", "s", "k"))], names=["w1", "w2", "i", "a", "s", "k"])
 
 
+def _islands(starts: Column) -> Column:
+    """Sorted window numbers as runs (start, n) of consecutive ones."""
+    none = F.array().cast("array<struct<start: int, n: int>>")
+
+    def add(acc: Column, x: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        longer = F.concat(F.slice(acc, 1, F.greatest(F.lit(0), F.size(acc) - 1)), F.array(F.struct(last["start"].alias("start"), (last["n"] + 1).alias("n"))))
+        fresh = F.concat(acc, F.array(F.struct(x.alias("start"), F.lit(1).alias("n"))))
+        return F.when(last["start"] + last["n"] == x, longer).otherwise(fresh).cast("array<struct<start: int, n: int>>")
+
+    return F.aggregate(starts, none, add)
+
+
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(did, th, runs): for each document (see row_key) with repeated windows, runs of (first window, number of windows).
 
@@ -207,13 +220,14 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     indexed = shards.mapInArrow(lambda it: _indexed(it, window), f"a long, s long, runs {runs}")
     every = durable(distinct.where("hot").select("a", "s", "k", "words").mapInArrow(lambda it: _windows(it, window), "w1 long, w2 long, i int, a long, s long, k long"))
     often = every.groupBy("w1", "w2").agg(F.sum("k").alias("all")).where(F.col("all") > 1).select("w1", "w2")
-    counted_hot = every.join(often, ["w1", "w2"]).groupBy("a", "s").agg(F.collect_set(F.struct(F.col("i").alias("start"), F.lit(1).alias("n"))).alias("runs"))
+    starts = F.sort_array(F.collect_set("i"))
+    counted_hot = every.join(often, ["w1", "w2"]).groupBy("a", "s").agg(starts.alias("i")).select("a", "s", _islands(F.col("i")).alias("runs"))
     known = durable(indexed.unionByName(counted_hot).where(F.size("runs") > 0))
     release(spark)
     back = cut.select("a", "s", "did", "th", "start").join(known, ["a", "s"])
-    back = back.select("did", "th", F.explode("runs").alias("r"), "start").select("did", "th", (F.col("start") + F.col("r.start")).alias("start"), F.col("r.n").alias("n"))
-    equal = found.select("did", "th", F.explode(F.filter("segs", lambda x: x["kind"] == 0)).alias("x")).select("did", "th", "x.start", "x.n")
-    return durable(back.unionByName(equal).groupBy("did", "th").agg(F.collect_set(F.struct("start", "n")).alias("runs")))
+    back = back.select("did", "th", F.transform("runs", lambda r: F.struct((F.col("start") + r["start"]).alias("start"), r["n"].alias("n"))).alias("runs"))
+    equal = found.select("did", "th", F.transform(F.filter("segs", lambda x: x["kind"] == 0), lambda x: F.struct(x["start"].alias("start"), x["n"].alias("n"))).alias("runs")).where(F.size("runs") > 0)
+    return durable(back.unionByName(equal).groupBy("did", "th").agg(F.flatten(F.collect_set("runs")).alias("runs")))
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
