@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import tempfile
 import uuid
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 #: Rows of a Python-side block: bounds what a worker holds at once, whatever the Arrow batch holds.
 BLOCK_ROWS, BLOCK_BYTES = 512, 4_000_000
 #: Entries that a worker's word memo holds before it starts anew.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 120_000
 _own: dict[str, str] = {}
 
 
@@ -86,6 +87,15 @@ def raw(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
+def tidy() -> None:
+    """Gives freed memory back to the system: workers live on from task to task and stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def blocks(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Slices of a batch with their texts as bytes, each slice bounded in rows and (but for a single long text) in bytes."""
     i = batch.schema.get_field_index(text)
@@ -99,6 +109,7 @@ def blocks(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[pa.Recor
                 start, held = k, len(t or b"")
         if texts[start:]:
             yield part.slice(start), texts[start:]
+    tidy()
 
 
 class WordHashes(dict):

@@ -17,6 +17,8 @@ BANDS, ROWS = 48, 6
 HUBS = 128
 #: Members of a hub that are verified in one group; larger stars are dealt over as many groups as they need.
 STAR = 200
+#: Shingles of hubs that a worker keeps at once.
+HELD = 200_000
 #: Members of a bucket that are searched in one group.
 SPREAD = 512
 _TOP = np.uint64(2**64 - 1)
@@ -160,6 +162,8 @@ def _searched(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Ite
                         continue
                     mine = shingles_of(text or b"", size) if mine is None else mine
                     if i not in sets:
+                        if sum(map(len, sets.values())) > HELD:
+                            sets.clear()
                         sets[i] = shingles_of(hubs[i][5] or b"", size)
                     both = len(mine & sets[i])
                     if 100 * both >= percent * (len(mine) + len(sets[i]) - both):

@@ -22,7 +22,7 @@ from .fmindex import FMIndex
 
 WINDOW, GRAM = 50, 7
 #: Segments of an unequal anchor above which its windows are counted by hash; words of a shard's index; words of a piece of a text.
-HOT, SHARD_WORDS, PIECE = 256, 400_000, 4_000_000
+HOT, SHARD_WORDS, PIECE = 256, 150_000, 4_000_000
 _B = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _INVERSE = tuple(np.uint64(pow(int(b), -1, 2**64)) for b in _B)
 
@@ -110,11 +110,11 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
                 n = np.array([x["n"] for x in segs])
                 hashed = spans(hashes(words, memo), start, start + n + window - 1, powers, 1).view(np.int64).tolist()
                 for x, s in zip(segs, hashed, strict=True):
-                    at, known = x["start"], (key := (x["a"], s)) in told
+                    at, known = x["start"], (key := x["a"] ^ (s << 1)) in told
                     told.add(key)
                     for col, v in zip(out, (x["a"], s, did, th, at, x["n"], x["kind"] == 2, None if known else b" ".join(words[at : at + x["n"] + window - 1])), strict=True):
                         col.append(v)
-            if len(told) > MEMO_WORDS:
+            if len(told) > MEMO_WORDS // 2:
                 told.clear()
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["a", "s", "did", "th", "start", "n", "hot", "words"])
