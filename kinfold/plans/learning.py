@@ -163,6 +163,12 @@ def reverse_complement(t: Tables) -> DataFrame:
     return t.documents.where(F.col("text").rlike(r"^[ -~\s]*$")).select("doc_id", F.md5(S.reverse_complement(F.col("text")).cast("binary")).alias("digest"))
 
 
+@query()
+def reverse_complement_all(t: Tables) -> DataFrame:
+    """Of every text, reversed by code points. No SQL: DuckDB's reverse() keeps letters and their combining marks together."""
+    return t.documents.where("text is not null").select("doc_id", F.md5(S.reverse_complement(F.col("text")).cast("binary")).alias("digest"))
+
+
 def event_hits(t: Tables) -> DataFrame:
     """Events as hits: a user's in order of time (seconds), the type as function, the value as weight."""
     return t.events.select(F.col("user_id").alias("id"), F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts AS timestamp_ntz))").alias("pos"), F.col("event_id").alias("ord"), F.col("event_type").alias("function"), F.col("value").alias("weight"))
