@@ -1,11 +1,13 @@
-"""License scans: normalised lines and whole texts against licence templates by Dice coefficient over word bigrams."""
+"""License scans: normalised lines, whole texts and passages of them against licence templates by Dice coefficient over word bigrams."""
 
 from __future__ import annotations
 
 import re
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ TEMPLATES = [
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
     ("Proprietary", "All rights reserved."),
 ]
+#: Whole licences, by the name of their file. (The SQL has the notices only.)
+BODIES = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
 _WORD = re.compile(rb"[a-z0-9]+")
 
 
@@ -47,9 +51,10 @@ class Templates:
     """Templates by bigram; sizes bound which of them a text can match at all."""
 
     def __init__(self, templates: list[tuple[str, str]], least: float):
-        self.least, self.names, self.sizes, self.by = least, [], [], {}
+        self.least, self.names, self.sizes, self.by, self.own = least, [], [], {}, []
         for name, text in templates:
             own = bigrams(text.encode())
+            self.own.append(own)
             for g in own:
                 self.by.setdefault(g, []).append(len(self.names))
             self.names.append(name)
@@ -69,15 +74,74 @@ class Templates:
         common = Counter(t for g in own if g in self.by for t in self.by[g])
         return [(self.names[t], d) for t, k in common.items() if self.bounds[t][0] <= len(own) <= self.bounds[t][1] and (d := 2 * k / (len(own) + self.sizes[t])) >= self.least]
 
-
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST) -> DataFrame:
-    """Every row of docs (any columns) with n_matches (lines, or the whole text, that match), licenses (sorted ids) and dice (the best, else 0).
-
-    Null and empty texts match nothing; a text of one line counts once; repeated rows repeat results.
+    def possible(self, words: list[bytes]) -> list[int]:
+        """Templates that any part of a text can match: with k of their bigrams in it, Dice is 2k / (k + size) at most."""
+        common = Counter(t for g in self.by.keys() & set(zip(words, words[1:], strict=False)) for t in self.by[g])
+        return [t for t, k in common.items() if k >= self.bounds[t][0] - 1e-9]
+
+    def passages(self, words: list[bytes], which: list[int]) -> list[tuple[float, int, int, int]]:
+        """(dice, first word, word after the last, template): from each bigram of a template, the best window if it matches.
+
+        Cutting bigrams that are not the template's, or that come again inside, off an end never lowers the coefficient. So
+        windows start at bigrams of the template and end before that bigram comes again: a template's size times the text at most.
+        """
+        code: dict[tuple[bytes, bytes], int] = {}
+        at = np.array([code.setdefault(g, len(code)) for g in zip(words, words[1:], strict=False)])
+        order = np.argsort(at, kind="stable")
+        again = at[order][1:] == at[order][:-1]
+        before, after = np.full(len(at), -1), np.full(len(at), len(at))
+        before[order[1:][again]], after[order[:-1][again]] = order[:-1][again], order[1:][again]
+        found = []
+        for t in which:
+            size, high = self.sizes[t], self.bounds[t][1]
+            is_own = np.zeros(len(code), bool)
+            is_own[[code[g] for g in self.own[t] if g in code]] = True
+            own = is_own[at]
+            for i in np.flatnonzero(own).tolist():
+                reach = int(2 * high) + 8
+                while True:
+                    end = min(int(after[i]), i + reach)
+                    fresh = before[i:end] < i
+                    n = np.cumsum(fresh)
+                    if end == after[i] or n[-1] > high:
+                        break
+                    reach *= 2
+                dice = 2 * np.cumsum(fresh & own[i:end]) / (n + size)
+                j = int(dice.argmax())
+                if dice[j] >= self.least:
+                    found.append((float(dice[j]), i, i + j + 2, t))
+        return found
+
+    def all(self, text: bytes) -> tuple[int, set[str], float]:
+        """How many places of a text match (its lines, it as a whole, and passages beyond those), licences, the best coefficient."""
+        words = _WORD.findall(text.lower())
+        which = self.possible(words)
+        if not which:
+            return 0, set(), 0.0
+        lines = text.split(b"\n")
+        by_line = [self.match(line) for line in lines]
+        whole = self.match(text) if len(lines) > 1 else []
+        passages = sorted(self.passages(words, which), key=lambda x: (-x[0], x[1], x[2], x[3]))
+        of_line = np.repeat(np.arange(len(lines)), [len(_WORD.findall(line.lower())) for line in lines])
+        n, taken = sum(map(bool, by_line)) + bool(whole), np.zeros(len(words), bool)
+        for _, a, b, _ in passages:
+            if not taken[a:b].any():  # windows that overlap a better one are the same place
+                taken[a:b] = True
+                inside = of_line[a] == of_line[b - 1] and by_line[of_line[a]]
+                n += not (inside or whole)
+        hits = [*(x for m in (*by_line, whole) for x in m), *((self.names[t], d) for d, _, _, t in passages)]
+        return n, {name for name, _ in hits}, max((d for _, d in hits), default=0.0)
+
+
+def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, least: float = LEAST) -> DataFrame:
+    """Every row of docs (any columns) with n_matches (lines, the whole text, and passages within or across lines, that match), licenses (sorted ids) and dice (the best, else 0).
+
+    Null and empty texts match nothing; a text of one line counts once, a passage in a matching line or text with it; repeated rows repeat results.
     """
     from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
     tune(docs.sparkSession)
+    templates = [*TEMPLATES, *BODIES] if templates is None else templates
     own = [f for f in docs.schema.fields if f.name not in ("n_matches", "licenses", "dice")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,11 +150,10 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
             for part, texts in blocks(batch):
                 n, names, best = [], [], []
                 for t in texts:
-                    lines = (t or b"").split(b"\n")
-                    got = [m for line in (lines if len(lines) == 1 else [*lines, t]) if (m := known.match(line))]
-                    n.append(len(got))
-                    names.append(sorted({name for m in got for name, _ in m}))
-                    best.append(max((d for m in got for _, d in m), default=0.0))
+                    places, own_names, dice = known.all(t or b"")
+                    n.append(places)
+                    names.append(sorted(own_names))
+                    best.append(dice)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(best, pa.float64())], names=[*part.schema.names, "n_matches", "licenses", "dice"])
 
     kind = StructType([*own, StructField("n_matches", LongType()), StructField("licenses", ArrayType(StringType())), StructField("dice", DoubleType())])
