@@ -54,7 +54,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def mcl(a: np.ndarray, b: np.ndarray, w: np.ndarray, inflation: float, rounds: int = 60, prune: float = 1e-4) -> list[list]:
-    """Markov clusters of a weighted undirected graph: flow is spread by squaring and sharpened by powers until it rests."""
+    """Markov clusters of a weighted undirected graph: flow is spread by squaring and sharpened by powers until it rests.
+
+    Flow below `prune` is dropped, but never what is near the most of its column: that of a large clique is small everywhere.
+    """
     names, at = np.unique(np.concatenate((a, b)), return_inverse=True)
     n = len(names)
     m = np.zeros((n, n))
@@ -64,7 +67,8 @@ def mcl(a: np.ndarray, b: np.ndarray, w: np.ndarray, inflation: float, rounds: i
     m /= m.sum(axis=0)
     for _ in range(rounds):
         new = np.power(m @ m, inflation)
-        new[new < prune] = 0
+        new /= new.sum(axis=0)
+        new[new < np.minimum(prune, new.max(axis=0) / 2)] = 0
         new /= new.sum(axis=0)
         if np.abs(new - m).max() < 1e-6:
             m = new
@@ -72,15 +76,43 @@ def mcl(a: np.ndarray, b: np.ndarray, w: np.ndarray, inflation: float, rounds: i
         m = new
     root = {}
     for j in range(n):  # columns that flow to the same attractor are one cluster
-        root.setdefault(int(m[:, j].argmax()), []).append(j)
+        root.setdefault(int(m[:, j].round(6).argmax()), []).append(j)
     return [names[v].tolist() for v in root.values()]
 
 
+def mcl_by_joins(edges: DataFrame, inflation: float, rounds: int = 60, prune: float = 1e-4) -> DataFrame:
+    """(part, cluster, member): what mcl() finds in each part of (part, a, b, weight), by joins over (part, row, col, w) entries."""
+    both = edges.select("part", F.col("a").alias("row"), F.col("b").alias("col"), "weight").unionByName(edges.select("part", F.col("b").alias("row"), F.col("a").alias("col"), "weight"))
+    entries = both.groupBy("part", "row", "col").agg(F.max("weight").cast("double").alias("w"))
+    loops = entries.groupBy("part", "col").agg(F.greatest(F.max("w"), F.lit(1e-12)).alias("w")).select("part", F.col("col").alias("row"), "col", "w")
+    full = cut_lineage(entries.where("row <> col").unionByName(loops))
+    share = lambda m: m.join(m.groupBy("part", "col").agg(F.sum("w").alias("total")), ["part", "col"]).select("part", "row", "col", (F.col("w") / F.col("total")).alias("w"))
+    flow, done = cut_lineage(share(full)), None
+    for _ in range(rounds):
+        left = flow.select("part", "row", F.col("col").alias("k"), F.col("w").alias("x"))
+        right = flow.select("part", F.col("row").alias("k"), "col", F.col("w").alias("y"))
+        sharp = left.join(right, ["part", "k"]).groupBy("part", "row", "col").agg(F.pow(F.sum(F.col("x") * F.col("y")), F.lit(inflation)).alias("w"))
+        even = cut_lineage(share(cut_lineage(sharp)))
+        least = even.groupBy("part", "col").agg(F.least(F.lit(prune), F.max("w") / 2).alias("least"))
+        new = cut_lineage(share(even.join(least, ["part", "col"]).where("w >= least").select("part", "row", "col", "w")))
+        moved = flow.withColumnRenamed("w", "old").join(new, ["part", "row", "col"], "full").groupBy("part").agg(F.max(F.abs(F.coalesce("w", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))).alias("most"))
+        still = cut_lineage(moved.where("most >= 1e-6").select("part"))
+        rest = new.join(still, "part", "left_anti")
+        done = rest if done is None else done.unionByName(rest)
+        flow = cut_lineage(new.join(still, "part", "left_semi"))
+        if still.isEmpty():
+            break
+    last = flow if done is None else done.unionByName(flow)
+    root = last.groupBy("part", "col").agg(F.min(F.struct((-F.round("w", 6)).alias("w"), "row")).alias("x")).select("part", F.col("col").alias("member"), F.col("x.row").alias("root"))
+    root = cut_lineage(root)
+    return root.join(root.groupBy("part", "root").agg(F.min("member").alias("cluster")), ["part", "root"]).select("part", "cluster", "member")
+
+
 def markov_clusters(edges: DataFrame, inflation: float = 3.0, largest: int = 3000) -> DataFrame:
     """(group, cluster, member): Markov clusters inside each component of (group, a, b, weight).
 
-    A cluster never spans two components, so each is clustered by itself; a component of more than `largest` nodes is split by
-    its strongest links first (each node's best), which keeps what one task holds bounded.
+    A cluster never spans two components, so each is clustered by itself: in one task, or by joins over its entries if it has more
+    than `largest` nodes. Both ways do the same rounds over all links.
     """
     kind = edges.schema["a"].dataType.simpleString()
     keyed = edges.where("weight > 0")
@@ -89,18 +121,18 @@ def markov_clusters(edges: DataFrame, inflation: float = 3.0, largest: int = 300
     size = comp.groupBy("component").agg(F.count("*").alias("nodes"))
     sized = cut_lineage(with_c.join(size, "component"))
     small, big = sized.where(F.col("nodes") <= largest), sized.where(F.col("nodes") > largest)
-    if not big.isEmpty():
-        both = big.select("group", "a", "b", "weight").unionByName(big.select("group", F.col("b").alias("a"), F.col("a").alias("b"), "weight"))
-        best = both.groupBy("a").agg(F.max_by(F.struct("b"), F.struct("weight", F.col("b"))).alias("x")).select("a", F.col("x.b").alias("b"))
-        parts = components(best)
-        inner = big.join(parts.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a").join(parts.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b").where("ca = cb")
-        small = small.unionByName(inner.withColumn("component", F.col("ca")).select(*small.columns))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         found = mcl(pdf["a"].to_numpy(), pdf["b"].to_numpy(), pdf["weight"].to_numpy(float), inflation)
         return pd.DataFrame([(pdf["group"].iloc[0], min(c), x) for c in found for x in c], columns=["group", "cluster", "member"])
 
-    return small.groupBy("group", "component").applyInPandas(run, f"group string, cluster {kind}, member {kind}")
+    out = small.groupBy("group", "component").applyInPandas(run, f"group string, cluster {kind}, member {kind}")
+    if big.isEmpty():
+        return out
+    parts = cut_lineage(big.select("group", "component").distinct().withColumn("part", F.monotonically_increasing_id()))
+    keys = parts.select("part", F.col("group").alias("g"), F.col("component").alias("c"))
+    found = mcl_by_joins(big.join(keys, F.col("group").eqNullSafe(F.col("g")) & (F.col("component") == F.col("c"))).select("part", "a", "b", "weight"), inflation)
+    return out.unionByName(found.join(parts, "part").select(F.col("group").cast("string").alias("group"), "cluster", "member"))
 
 
 def representatives(pairs: DataFrame, nodes: DataFrame, identity: float = 0.5) -> DataFrame:
