@@ -57,6 +57,38 @@ def representative_clusters(t: Tables) -> DataFrame:
     return graph.representatives(pairs, t.benchmark.select(F.col("item_id").alias("id"), F.length("text").alias("size")), 0.1)
 
 
+def distinct_documents(t: Tables) -> DataFrame:
+    """(function, seq, id, ids): documents with text by language, equal texts as one under their least id."""
+    return t.documents.where("text is not null").groupBy(F.col("lang").alias("function"), F.col("text").alias("seq")).agg(F.min("doc_id").alias("id"), F.array_sort(F.collect_set("doc_id")).alias("ids"))
+
+
+@query()
+def pairwise_shared_kmers_documents(t: Tables) -> DataFrame:
+    """Pairs of distinct texts of a language that share five 8-mers or more. (No SQL: its self-join over all documents takes too long.)"""
+    return nr.shared_kmers(distinct_documents(t)).withColumn("score", F.round("score", 6))
+
+
+@query()
+def mcl_clusters_documents(t: Tables) -> DataFrame:
+    """Documents in clusters of two or more: links are those of distinct texts, and copies go with their text."""
+    texts = graph.cut_lineage(distinct_documents(t))
+    e = graph.cut_lineage(nr.shared_kmers(texts).select(F.col("function").alias("group"), F.col("id1").alias("a"), F.col("id2").alias("b"), F.col("score").alias("weight")))
+    found = graph.markov_clusters(e, 3.0).select("cluster", F.col("member").alias("id"))
+    all_ = texts.select(F.col("function").alias("group"), "id", "ids").join(found, "id", "left").where("cluster is not null or size(ids) > 1")
+    named = graph.cut_lineage(all_.select("group", F.coalesce("cluster", "id").alias("cluster"), F.explode("ids").alias("member")))
+    several = named.groupBy("cluster").count().where("count > 1").select("cluster")
+    return named.join(several, "cluster").select("group", "cluster", "member")
+
+
+@query()
+def representative_clusters_documents(t: Tables) -> DataFrame:
+    """Every document with its representative, at the reference's identity; copies go with their text."""
+    texts = graph.cut_lineage(distinct_documents(t))
+    pairs = nr.shared_kmers(texts).select(F.col("id1").alias("a"), F.col("id2").alias("b"), "score")
+    found = graph.representatives(graph.cut_lineage(pairs), texts.select("id", F.length("seq").alias("size")), 0.5)
+    return found.join(texts.select(F.col("id").alias("member"), "ids"), "member").select("rep", F.explode("ids").alias("member"))
+
+
 @query("SELECT p_brand, p_size, count(*) AS n, CASE WHEN count(DISTINCT p_type) = 1 THEN min(p_type) ELSE '' END AS gene FROM part GROUP BY ALL")
 def consensus_name(t: Tables) -> DataFrame:
     return M.consensus(t.part.select("p_brand", "p_size", F.col("p_type").alias("gene")), "p_brand", "p_size")
