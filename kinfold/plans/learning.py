@@ -259,6 +259,14 @@ def nr_reps(t: Tables) -> DataFrame:
     return refs.join(t.documents.select(F.col("doc_id").alias("ref"), F.col("source").alias("genome")), "ref").select("md5", "ref", "genome", F.size("dups").cast("long").alias("n_dups"))
 
 
+@query()
+def nr_reps_all(t: Tables) -> DataFrame:
+    """References of all groups, flagged by nr_reps' test of the first id. (No SQL: that of nr_reps leaves groups out.)"""
+    refs = nr.references(nr_groups(t), lambda c: c.isNotNull())
+    genome = t.documents.select(F.col("doc_id").alias("ref"), F.col("source").alias("genome"))
+    return refs.join(genome, "ref").select("md5", "ref", "genome", F.size("dups").cast("long").alias("n_dups"), (F.col("ref") % 7 != 0).alias("is_feature"))
+
+
 @query(f"WITH {_NR}, r AS (SELECT md5, min(doc_id) AS ref FROM g GROUP BY md5) SELECT ref AS fam, g.doc_id AS member, g.doc_id = ref AS original, d.lang AS gene FROM r JOIN g USING (md5) JOIN documents d ON d.doc_id = ref")
 def nr_inflate(t: Tables) -> DataFrame:
     refs = nr.references(nr_groups(t), lambda c: c.isNotNull())

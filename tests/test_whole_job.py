@@ -18,3 +18,9 @@ def test_reverse_complement_of_texts_beyond_ascii(spark, tmp_path):
     got = {r["doc_id"]: r["digest"] for r in registry.QUERIES["reverse_complement_all"](spark, folder).collect()}
     table = str.maketrans(S.IUPAC, S.COMPLEMENT)
     assert got == {i: hashlib.md5(t.translate(table)[::-1].encode()).hexdigest() for i, t in TEXTS if t is not None}
+
+
+def test_references_of_all_groups(spark, tmp_path):
+    folder = write(spark, tmp_path, [(7, "MKV", "en", "a"), (8, "mkv", "en", "b"), (9, "AAA", "en", "c"), (10, None, "en", "d")])
+    got = {r["ref"]: (r["genome"], r["n_dups"], r["is_feature"]) for r in registry.QUERIES["nr_reps_all"](spark, folder).collect()}
+    assert got == {7: ("a", 1, False), 9: ("c", 0, True)}
