@@ -11,6 +11,7 @@ from __future__ import annotations
 import json as json_
 import os
 import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMO_WORDS, blocks, tune
+from .common import blocks, kept_by_process, tune
 
 #: Chunks are 2**CUT_BITS bytes long on average and LONGEST at most; a worker's memo holds MEMO_BYTES of them.
 CUT_BITS, LONGEST, MEMO_BYTES = 10, 1 << 16, 48_000_000
@@ -29,6 +30,16 @@ BLANKS = b" \n\t"
 #: nor lower-case by context (those that only some take for blanks are left out).
 _LOWERING = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 _NOT_PLAIN = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u012f\u0131-\u024f]|<\\|")
+#: A rule that cuts words into pieces, each of which is then encoded on its own; and the same for plain text, built on first use.
+_CUTTING = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: Words, and pieces of words, that a worker remembers (some 200 bytes each).
+WORDS, PIECES = 250_000, 300_000
+
+
+def plain_pieces() -> re.Pattern:
+    """_CUTTING for signs below U+0250, in Python's own regular expressions."""
+    of = lambda kind: "".join(re.escape(chr(i)) for i in range(0x250) if unicodedata.category(chr(i))[0] == kind)
+    return re.compile(_CUTTING.replace("\\p{L}", of("L")).replace("\\p{N}", of("N")))
 
 
 def cuts(text: bytes) -> list[int]:
@@ -82,21 +93,37 @@ class Coder:
         self.plain = None
         if rules.get("normalizer") == _LOWERING and all(t["content"].startswith("<|") for t in rules.get("added_tokens", [])):
             self.plain = Tokenizer.from_str(json_.dumps(rules | {"normalizer": None, "truncation": None, "padding": None}))
+        cutters = (rules.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        same = [c["type"] for c in cutters] == ["Split", "ByteLevel"] and cutters[0]["pattern"] == {"Regex": _CUTTING} and not cutters[1]["add_prefix_space"] and not cutters[1]["use_regex"]
+        self.cut = plain_pieces() if self.plain is not None and same else None
         self.simple = self.tokenizer.decoder is None
         self.memo: dict[bytes, Chunk] = {}
         self.held = 0
         self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        """Puts the tokens of plain words in the memo: those of their pieces, each encoded once."""
+        known = self.pieces
+        if len(known) > PIECES:
+            known.clear()
+        split = {w: self.cut.findall(w) for w in words if not w.isalpha()} if self.cut else {}
+        new = {p for parts in split.values() for p in parts if p not in known}
+        new.update(w for w in words if w not in split and w not in known)
+        fresh = list(new)
+        known.update(zip(fresh, [array("I", e.ids).tobytes() for e in self.plain.encode_batch_fast(fresh, add_special_tokens=False)], strict=True))
+        get = known.__getitem__
+        self.words.update((w, b"".join(map(get, split[w])) if w in split else get(w)) for w in words)
 
     def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Tokens of pieces that start and end at blanks. Plain ones are put together from their words, each encoded once."""
+        """Tokens of stretches that start and end at blanks. Plain ones are put together from the pieces of their words, each encoded once."""
         whole = [t.decode() for t in texts]
         quick = [self.plain is not None and not _NOT_PLAIN.search(t) for t in whole]
         words = [t.lower().split() for t, q in zip(whole, quick, strict=True) if q]
-        if len(self.words) > MEMO_WORDS:
+        if len(self.words) > WORDS:
             self.words.clear()
         if new := [w for w in set().union(*words) if w not in self.words]:
-            for w, e in zip(new, self.plain.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.words[w] = array("I", e.ids).tobytes()
+            self._learn(new)
         fast = iter([np.frombuffer(b"".join(map(self.words.__getitem__, w)), "<u4") for w in words])
         slow = iter(self.tokenizer.encode_batch_fast([t for t, q in zip(whole, quick, strict=True) if not q], add_special_tokens=False))
         return [next(fast) if q else np.array(next(slow).ids, dtype="<u4") for q in quick]
@@ -182,6 +209,11 @@ class Coder:
         return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False).encode()
 
 
+def coder_of(json: str) -> Coder:
+    """The one coder of this Python process: its memos serve every task that the worker runs."""
+    return kept_by_process(("bpe", xxhash.xxh3_128_hexdigest(json.encode())), lambda: Coder(json))
+
+
 def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Every row of docs (any columns but ids and decoded) with ids (little-endian unsigned 32-bit, as binary) and decoded.
 
@@ -196,7 +228,7 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     own = [f for f in docs.schema.fields if f.name not in ("ids", "decoded")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(shared.value)
+        coder = coder_of(shared.value)
         for batch in batches:
             for part, texts in blocks(batch):
                 ids = coder.encode([t or b"" for t in texts])
@@ -216,7 +248,7 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     own = [f for f in encoded.schema.fields if f.name != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(shared.value)
+        coder = coder_of(shared.value)
         for batch in batches:
             for part, ids in blocks(batch, "ids"):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([None if x is None else coder.decode(np.frombuffer(x, "<u4")) for x in ids], pa.binary()).cast(pa.string())], names=[*part.schema.names, "decoded"])

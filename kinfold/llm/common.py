@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import ctypes
 import pickle
+import sys
 import tempfile
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +64,18 @@ class Shared:
         return pickle.loads(self.sent.value)
 
 
+def kept_by_process(key: tuple, make: Callable[[], object]) -> object:
+    """What make() gives, made once in a Python process and kept from task to task; one value at a time, so that memory stays bounded.
+
+    Functions of this package travel by value and have globals of their own in every task, so the place is a module of its own.
+    """
+    held = sys.modules.setdefault("_kinfold_kept", types.ModuleType("_kinfold_kept")).__dict__.setdefault("held", {})
+    if key not in held:
+        held.clear()
+        held[key] = make()
+    return held[key]
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of finished jobs now, not when the driver next happens to collect garbage."""
     import gc
