@@ -91,8 +91,15 @@ def fold_of(doc_id: str | Column, folds: int) -> Column:
 
 
 def row_key(df: DataFrame) -> DataFrame:
-    """df with a null-safe join key per row: did (doc_id or the least long) and th (hash of the text)."""
-    return df.withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))).withColumn("th", F.xxhash64("text"))
+    """df with a null-safe join key per row: did (doc_id, or its hash if it isn't whole numbers; null: the least long) and th (hash of the text)."""
+    return df.withColumn("did", id_key(df)).withColumn("th", F.xxhash64("text"))
+
+
+def id_key(df: DataFrame) -> Column:
+    """doc_id as a long: itself, or a hash of its text if it is of another type; null ids have the least one."""
+    whole = df.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long")
+    own = F.col("doc_id").cast("long") if whole else F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("string")))
+    return F.coalesce(own, F.lit(-(2**63)))
 
 
 def raw(column: pa.Array) -> list[bytes | None]:

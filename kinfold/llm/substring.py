@@ -27,6 +27,10 @@ _B = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _INVERSE = tuple(np.uint64(pow(int(b), -1, 2**64)) for b in _B)
 
 
+_RUNS = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))
+_PLACES = pa.list_(pa.struct([("did", pa.int64()), ("th", pa.int64()), ("start", pa.int32())]))
+
+
 class Powers:
     """Powers of both bases and of their inverses modulo 2^64, longer when needed."""
 
@@ -49,9 +53,13 @@ def spans(h: np.ndarray, start: np.ndarray, stop: np.ndarray, powers: Powers, wh
     return mix((total[stop] - total[start]) * powers.down[which][start] + (stop - start).astype(np.uint64), 5 + which)
 
 
-def segments(h: np.ndarray, window: int, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first window and number of windows of each segment of a text's word hashes."""
+def segments(h: np.ndarray, ends: np.ndarray, window: int, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first window and number of windows of each segment of texts whose word hashes stand one after another.
+
+    ends: the place after each text's last word. No window reaches over an end.
+    """
     gram = min(GRAM, window)
+    until = np.repeat(ends, np.diff(ends, prepend=0))  # of each word: the end of its text
     found = []
     for at in range(0, max(1, len(h) - window + 1), PIECE):
         piece = h[at : at + PIECE + window - 1]
@@ -63,9 +71,11 @@ def segments(h: np.ndarray, window: int, powers: Powers) -> tuple[np.ndarray, np
         while width < wide:  # the least of `width` neighbours, doubled until it spans a window
             more = min(width, wide - width)
             least, width = np.minimum(least[: len(least) - more], least[more:]), width + more
-        place = (least & np.uint64(0xFFFFFF)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-        found.append((g[place[first]], first + at, np.diff(np.append(first, len(place)))))
+        whole = np.flatnonzero(np.arange(at, at + len(least)) + window <= until[at : at + len(least)])
+        if len(whole):
+            place = (least[whole] & np.uint64(0xFFFFFF)).astype(np.int64)
+            first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+            found.append((g[place[first]], whole[first] + at, np.diff(np.append(first, len(place)))))
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))  # type: ignore[return-value]
@@ -75,49 +85,50 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], window: int, whole: bool) -> Iterator[pa.RecordBatch]:
-    """Anchor and hash of each segment, or anchor and place in its row."""
+def _marks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Every segment: anchor, hash, and place (row key, first window, number of windows). The texts of a block are worked on as one."""
     memo, powers = WordHashes(), Powers()
     for batch in batches:
         for part, texts in blocks(batch):
-            got, rows = [], []
-            for i, t in enumerate(texts):
-                words = (t or b"").split()
-                if len(words) >= window:
-                    h = hashes(words, memo)
-                    a, s, n = segments(h, window, powers)
-                    got.append((a, s, n, spans(h, s, s + n + window - 1, powers, 1) if whole else None))
-                    rows.append(np.full(len(a), i))
-            if not got:
+            split = [w if len(w) >= window else [] for w in ((t or b"").split() for t in texts)]
+            ends = np.cumsum([len(w) for w in split])
+            h = hashes([x for w in split for x in w], memo)
+            a, at, n = segments(h, ends, window, powers)
+            if not len(a):
                 continue
-            a = np.concatenate([x[0] for x in got])
-            if whole:
-                yield pa.RecordBatch.from_arrays([_signed(a), _signed(np.concatenate([x[3] for x in got]))], names=["a", "s"])
-            else:
-                at = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([_signed(a), part.column("did").take(at), part.column("th").take(at), pa.array(np.concatenate([x[1] for x in got]).astype(np.int32)), pa.array(np.concatenate([x[2] for x in got]).astype(np.int32))], names=["a", "did", "th", "start", "n"])
+            row = np.searchsorted(ends, at, side="right")
+            start = at - np.concatenate(([0], ends))[row]
+            own = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [_signed(a), _signed(spans(h, at, at + n + window - 1, powers, 1)), part.column("did").take(own), part.column("th").take(own), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
+                names=["a", "s", "did", "th", "start", "n"],
+            )
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """A text's unequal segments: anchor, hash, place, and the words, once a task for each distinct segment."""
-    memo, powers, told = WordHashes(), Powers(), set()
+    """The unequal segments of a block of texts, each distinct one once with all its places there; its words once a task."""
+    told: set[tuple[int, int]] = set()
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), _PLACES, pa.binary())
     for batch in batches:
         for part, texts in blocks(batch):
-            out: list[list] = [[] for _ in range(8)]
+            met: dict[tuple[int, int], list] = {}
             for did, th, segs, text in zip(part.column("did").to_pylist(), part.column("th").to_pylist(), part.column("segs").to_pylist(), texts, strict=True):
-                words = (text or b"").split()
-                start = np.array([x["start"] for x in segs])
-                n = np.array([x["n"] for x in segs])
-                hashed = spans(hashes(words, memo), start, start + n + window - 1, powers, 1).view(np.int64).tolist()
-                for x, s in zip(segs, hashed, strict=True):
-                    at, known = x["start"], (key := x["a"] ^ (s << 1)) in told
-                    told.add(key)
-                    for col, v in zip(out, (x["a"], s, did, th, at, x["n"], x["kind"] == 2, None if known else b" ".join(words[at : at + x["n"] + window - 1])), strict=True):
-                        col.append(v)
-            if len(told) > MEMO_WORDS // 2:
+                words = None
+                for x in segs:
+                    key, at = (x["a"], x["s"]), x["start"]
+                    row = met.get(key)
+                    if row is None:
+                        row = met[key] = [*key, x["kind"] == 2, 0, [], None]
+                        if key not in told:
+                            words = (text or b"").split() if words is None else words
+                            row[5] = b" ".join(words[at : at + x["n"] + window - 1])
+                            told.add(key)
+                    row[3] += 1
+                    row[4].append({"did": did, "th": th, "start": at})
+            if len(told) > MEMO_WORDS:
                 told.clear()
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["a", "s", "did", "th", "start", "n", "hot", "words"])
+            cols = list(zip(*met.values(), strict=True)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, kinds, strict=True)], names=["a", "s", "hot", "k", "places", "words"])
 
 
 def repeated_windows(rows: list[bytes], counts: list[int], window: int) -> list[np.ndarray]:
@@ -144,7 +155,6 @@ def _runs(hit: np.ndarray) -> list[dict[str, int]]:
     return [{"start": s, "n": e - s} for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
 
 
-_RUNS = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))
 
 
 def _indexed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -200,21 +210,23 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(did, th, runs): for each document (see row_key) with repeated windows, runs of (first window, number of windows).
 
     Joins with texts always shuffle by the same keys (the hint), so that small inputs are worked on as large ones are.
+    Places of equal segments travel together: a passage that very many documents share is one row a block of them until the
+    end, where its places are dealt evenly.
     """
     spark = docs.sparkSession
     tune(spark)
     keyed = row_key(docs.select("doc_id", "text")).select("did", "th", "text")
-    counted = docs.select("text").mapInArrow(lambda it: _anchors(it, window, True), "a long, s long").groupBy("a").agg(F.count("*").alias("k"), F.min("s").alias("lo"), F.max("s").alias("hi"))
+    marks = durable(keyed.mapInArrow(lambda it: _marks(it, window), "a long, s long, did long, th long, start int, n int"))
+    counted = marks.groupBy("a").agg(F.count("*").alias("k"), F.min("s").alias("lo"), F.max("s").alias("hi"))
     kind = F.when(F.col("lo") == F.col("hi"), 0).when(F.col("k") <= HOT, 1).otherwise(2)
     met = durable(counted.where("k > 1").select("a", kind.alias("kind")))
     release(spark)
-    placed = keyed.mapInArrow(lambda it: _anchors(it, window, False), "a long, did long, th long, start int, n int").join(met.hint("merge"), "a")
-    found = durable(placed.groupBy("did", "th").agg(F.collect_set(F.struct("start", "n", "kind", "a")).alias("segs")))
+    found = durable(marks.join(met.hint("merge"), "a").groupBy("did", "th").agg(F.collect_set(F.struct("start", "n", "kind", "a", "s")).alias("segs")))
     release(spark)
     unequal = found.select("did", "th", F.filter("segs", lambda x: x["kind"] > 0).alias("segs")).where(F.size("segs") > 0)
-    cut = durable(keyed.join(unequal.hint("merge"), ["did", "th"]).mapInArrow(lambda it: _cut(it, window), "a long, s long, did long, th long, start int, n int, hot boolean, words binary"))
+    cut = durable(keyed.join(unequal.hint("merge"), ["did", "th"]).mapInArrow(lambda it: _cut(it, window), "a long, s long, hot boolean, k long, places array<struct<did: long, th: long, start: int>>, words binary"))
     release(spark)
-    distinct = durable(cut.groupBy("a", "s").agg(F.count("*").alias("k"), F.first("words", ignorenulls=True).alias("words"), F.first("hot").alias("hot")))
+    distinct = durable(cut.groupBy("a", "s").agg(F.sum("k").alias("k"), F.first("words", ignorenulls=True).alias("words"), F.first("hot").alias("hot")))
     shards = distinct.where("not hot").select("a", "s", "k", "words").repartition("a").sortWithinPartitions("a")
     runs = "array<struct<start: int, n: int>>"
     indexed = shards.mapInArrow(lambda it: _indexed(it, window), f"a long, s long, runs {runs}")
@@ -224,8 +236,9 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     counted_hot = every.join(often, ["w1", "w2"]).groupBy("a", "s").agg(starts.alias("i")).select("a", "s", _islands(F.col("i")).alias("runs"))
     known = durable(indexed.unionByName(counted_hot).where(F.size("runs") > 0))
     release(spark)
-    back = cut.select("a", "s", "did", "th", "start").join(known, ["a", "s"])
-    back = back.select("did", "th", F.transform("runs", lambda r: F.struct((F.col("start") + r["start"]).alias("start"), r["n"].alias("n"))).alias("runs"))
+    back = cut.select("a", "s", "places").join(known, ["a", "s"]).repartition(F.xxhash64("a", "s", F.col("places")[0]))
+    back = back.select("runs", F.explode("places").alias("p"))
+    back = back.select("p.did", "p.th", F.transform("runs", lambda r: F.struct((F.col("p.start") + r["start"]).alias("start"), r["n"].alias("n"))).alias("runs"))
     equal = found.select("did", "th", F.transform(F.filter("segs", lambda x: x["kind"] == 0), lambda x: F.struct(x["start"].alias("start"), x["n"].alias("n"))).alias("runs")).where(F.size("runs") > 0)
     return durable(back.unionByName(equal).groupBy("did", "th").agg(F.flatten(F.collect_set("runs")).alias("runs")))
 
@@ -247,9 +260,9 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordB
                     words = [words[i] for i in np.flatnonzero(stay).tolist()]
                 else:
                     gone.append(0)
-                kept.append(b" ".join(words).decode())
+                kept.append(b" ".join(words))
             keep = [n for n in part.schema.names if n not in ("runs", "did", "th")]
-            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=[*keep, "n_words", "n_removed", "kept_text"])
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=[*keep, "n_words", "n_removed", "kept_text"])
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
