@@ -72,6 +72,74 @@ def test_near_duplicate_edges(spark):
     assert sorted(r["doc_id"] for r in minhash.keep_one(df).where("doc_id is not null").collect()) == [900_001, 900_002, 900_003, 900_004, 900_006]
 
 
+def test_rows_of_one_id_and_ids_of_text(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    rows = [("b", words), ("b", other), ("a", words + " more"), ("c", other), ("c", other), (None, other), (None, "alone here"), ("d", None), ("d", None), ("e", " ")]
+    df = spark.createDataFrame(rows, "doc_id string, text string").withColumn("rid", F.lit(1)).withColumn("__kinfold_did", F.lit("mine")).withColumn("_rank", F.lit(2))
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df, size=2).collect()), key=str)
+    want = [("b", 39, "a", False), ("b", 39, "b", True), ("a", 40, "a", True), ("c", 39, "b", False), ("c", 39, "b", False), (None, 39, "b", False), (None, 1, None, False)]
+    want += [("d", 0, "d", True)] * 2 + [("e", 0, "e", True)]
+    assert got == sorted(want, key=str)
+    kept = minhash.keep_one(df, size=2)
+    assert kept.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([("a", words + " more"), ("b", other), (None, "alone here"), ("d", None), ("d", None), ("e", " ")], key=str)
+
+
+def test_links_of_pairs_that_share_one_band_only(spark, monkeypatch):
+    """With few wide bands nearly all links at the threshold meet in a single band; every pair that meets is still tried."""
+    r = random.Random(5)
+    rows = []
+    for k in range(12):
+        base = [f"b{k}x{i}" for i in range(80)]
+        for j in range(8):
+            w = list(base)
+            for _ in range(r.choice([0, 3, 4])):
+                w[r.randrange(80)] = f"e{r.randrange(10_000)}"
+            rows.append((100 * k + j, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {d: set(zip(t.split(), t.split()[1:], strict=False)) for d, t in rows}
+    band = {}
+    for x in minhash._signed(iter([df.withColumn("did", F.col("doc_id")).withColumn("th", F.lit(0).cast("long")).select("doc_id", "did", "th", "text").toArrow().combine_chunks().to_batches()[0]]), 2, 40, 1):
+        band |= dict(zip(x.column("doc_id").to_pylist(), x.column("bands").to_pylist(), strict=True))
+    up = {d: d for d in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and set(band[a]) & set(band[b]) and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                up[max(x, y)] = min(x, y)
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(df, 2, 80, bands=40, rows=1).collect()}
+    assert got == {d: find(d) for d in sets}
+
+
+def test_sets_are_confirmed_where_their_hashes_are_equal(spark, monkeypatch):
+    """With hashes that tell nothing all sets look equal: links must come from the sets themselves."""
+    real = minhash.mix
+    monkeypatch.setattr(minhash, "mix", lambda x, seed=0: np.zeros_like(x) if seed in (11, 12) else real(x, seed))
+    rows = corpus(4, docs=6)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == groups_brute(rows, 2, 80)
+
+
+def test_cells_bound_the_intersection():
+    r = np.random.default_rng(1)
+    for _ in range(200):
+        n, m, k = r.integers(1, 400, 3)
+        both = r.integers(0, 2**63, k, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate((both, r.integers(0, 2**63, x, dtype=np.uint64)))) for x in (n, m))
+        at = [np.minimum(255, np.bincount((x >> np.uint64(58)).astype(int), minlength=64)).astype(np.uint8) for x in (a, b)]
+        linked = 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+        assert not linked or minhash.possible(at[0][None], np.array([len(a)]), at[1], len(b), 80)[0]
+    full = np.full((1, 64), 255, np.uint8)
+    assert minhash.possible(full, np.array([50_000]), full[0], 60_000, 80)[0]
+
+
 def test_a_large_group_takes_further_hubs(spark, monkeypatch):
     monkeypatch.setattr(minhash, "HUBS", 2)
     monkeypatch.setattr(minhash, "STAR", 5)
