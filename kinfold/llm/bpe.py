@@ -240,7 +240,8 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Every row of encoded (with a column ids as encode() gives it) with the decoded text; null ids decode to null."""
+    """Every row of encoded (with a column ids as encode() gives it) with the decoded text; null ids decode to null, none to the
+    empty text. A column named decoded gives way; repeated rows repeat results; an empty table gives none."""
     from pyspark.sql.types import StringType, StructField, StructType
 
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -257,5 +258,6 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def op1_bpe(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """encode() as digests: doc_id, n_tokens, ids_sha256, decoded_sha256 of every document; edges as there."""
     out = encode(docs.select("doc_id", "text"), tokenizer_path)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -9,6 +9,7 @@ import tempfile
 import types
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +17,14 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 #: Rows of a Python-side block: bounds what a worker holds at once, whatever the Arrow batch holds.
 BLOCK_ROWS, BLOCK_BYTES = 512, 4_000_000
 #: Entries that a worker's word memo holds before it starts anew.
 MEMO_WORDS = 120_000
 _own: dict[str, str] = {}
+_blocks: list[Scratch] = []
 
 
 #: Rows of an Arrow batch on its way to Python; Spark's own 10,000 whole texts would take hundreds of MB outside the heap.
@@ -38,19 +41,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder_of(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: spark.checkpoint.dir, or a temporary one where all of Spark is on this machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="kinfold-"))
+    return folder
+
+
 def durable(df: DataFrame) -> DataFrame:
     """df cut from its lineage: a table written to the folder that the session names in spark.checkpoint.dir, read again.
 
     Unlike a checkpointed RDD it keeps no trace of the plan it came from (whose inferred constraints grow from round to
-    round), is columnar, and survives the loss of any executor. The folder is scratch space, as with Spark's checkpoints.
+    round), is columnar, and survives the loss of any executor. Inside scratch() it goes with that block unless it is kept.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", "")
-    if not folder:  # local runs and tests only
-        folder = _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="kinfold-"))
-    path = f"{folder}/kinfold-{uuid.uuid4().hex}"
+    path = f"{folder_of(spark)}/kinfold-{uuid.uuid4().hex}"
+    if _blocks:
+        _blocks[-1].paths.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kinfold_path = path
+    return out
+
+
+class Scratch:
+    """The tables that durable() wrote inside a block."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self.kept: set[str] = set()
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """df, a table of durable() that what is returned still reads."""
+        self.kept.add(df._kinfold_path)
+        return df
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Deletes at its end the tables that durable() wrote inside, but for the kept ones, which pass to the block around."""
+    own = Scratch()
+    _blocks.append(own)
+    try:
+        yield own
+    finally:
+        _blocks.remove(own)
+        if _blocks:
+            _blocks[-1].paths += sorted(own.kept)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in own.paths:
+            if path not in own.kept:
+                at = hadoop(path)
+                at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 class Shared:
@@ -155,15 +200,32 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, limit: int) -> DataFrame:
-    """(doc_id, text, label) of about `limit` labelled documents at most, from the folds that may be learnt from.
+def thinned(sample: DataFrame, most_bytes: int, seed: int) -> DataFrame:
+    """A written sample (doc_id, text, ...) cut to about most_bytes of text, by a hash of doc_id."""
+    held = sample.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if held <= most_bytes:
+        return sample
+    return sample.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30)) < int(most_bytes / held * (1 << 30)))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, limit: int, most_bytes: int) -> DataFrame:
+    """(doc_id, text, label) of about `limit` labelled documents and `most_bytes` of text at most, from the folds that may be learnt from.
 
-    The bound is the documented one for fitting: rows are taken by a hash of doc_id, so the choice doesn't depend on order
+    The bounds are the documented ones for fitting: rows are taken by hashes of doc_id, so the choice doesn't depend on order
     or partitioning. A document with conflicting labels counts by their maximum. The ids are broadcast: there are never
-    more than about `limit` of them.
+    more than about `limit` of them. The sample is a written table.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & (fold_of("doc_id", 3) != 1))
     share = min(1.0, limit / max(1, usable.count()))
     chosen = usable.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30)) < int(share * (1 << 30)))
     ids = chosen.groupBy("doc_id").agg(F.max(F.col(target).cast("int")).alias("label"))
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
+    return thinned(durable(docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")), most_bytes, 18)
+
+
+def others(docs: DataFrame, *added: str) -> list[StructField]:
+    """The fields of docs but those of the names that an operator adds: a column that clashes gives way to the operator's."""
+    return [f for f in docs.schema.fields if f.name not in added]
+
+
+def picked(docs: DataFrame, fields: list[StructField]) -> DataFrame:
+    return docs.select(*(F.col(f"`{f.name}`") for f in fields))

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from .common import row_key
 
 WINDOW = 10
-#: Benchmark windows that are broadcast at most (about 150 bytes each); more are joined by a shuffle on
-#: two 64-bit hashes, which then stand for the comparison of words.
-BROADCAST_WINDOWS = 300_000
+#: Bytes of benchmark windows and their item ids that are broadcast at most; beyond that they are joined by a shuffle.
+BROADCAST_BYTES = 64_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What parts words: the ASCII signs other than digits and letters.
 _BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -27,8 +26,8 @@ def words_of(text: str, folded: bool = True) -> Column:
     return F.array_remove(F.split(c, _BREAK), "")
 
 
-def _opening(first: Column, second: Column, size: int) -> Column:
-    """The hash of the first two words of a window of `size` words."""
+def _opening(first: Column, second: Column | None, size: int) -> Column:
+    """The hash of the first two words of a window, or of the only one of a window of one."""
     return F.xxhash64(first, second) if size > 1 else F.xxhash64(first)
 
 
@@ -47,30 +46,34 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(did, th, spans, items) of every document (see row_key) in which a benchmark window occurs.
 
-    spans: array of (first word from 0, number of words) of the occurrences; items: the ids whose windows occur.
+    spans: array of (first word from 0, number of words) of the occurrences; items: the ids whose windows occur. Documents are
+    scanned once, whatever sizes the windows have: the first two words of each place are looked up first (one word for
+    windows of one), then the hash of the whole window, and at last its words are compared.
     """
     grams = benchmark_windows(benchmark, window)
-    facts = grams.agg(F.count("*").alias("n"), F.collect_set("size").alias("sizes")).first()
-    small = facts["n"] <= BROADCAST_WINDOWS
+    weight = F.octet_length("gram") + F.aggregate("items", F.lit(0), lambda n, x: n + F.octet_length(x) + 32) + 100
+    facts = grams.agg(F.sum(weight).alias("bytes"), F.collect_set("size").alias("sizes")).first()
+    sizes = sorted(facts["sizes"]) or [window]
     keyed = row_key(docs.select("doc_id", "text")).select("did", "th", words_of("text").alias("words"))
-    found = None
-    for size in sorted(facts["sizes"]) or [window]:
-        own = grams.where(F.col("size") == size)
-        part = F.slice("words", F.col("start") + 1, size)
-        at = keyed.select("did", "th", "words", F.posexplode("words").alias("start", "word")).where(F.col("start") <= F.size("words") - size)
-        if small:
-            # Most places end at the set of opening words; the hash of the whole window is taken of the others alone. The words
-            # stay in the row for the comparison, which is free as long as nothing is shuffled.
-            head = own.select(_opening(F.split_part("gram", F.lit(" "), F.lit(1)), F.split_part("gram", F.lit(" "), F.lit(2)), size).alias("f")).distinct()
-            at = at.withColumn("f", _opening(F.col("word"), F.get("words", F.col("start") + 1), size)).join(F.broadcast(head), "f", "left_semi")
-            met = at.withColumn("h", F.xxhash64(part)).join(F.broadcast(own), "h").where(F.concat_ws(" ", part) == F.col("gram"))
-        else:  # rows that are shuffled hold hashes in place of words: a text's size times its own would go over the wire
-            gram = F.split("gram", " ")
-            twice = own.withColumn("h2", F.xxhash64(F.lit(1), gram)).drop("gram")
-            met = at.select("did", "th", "start", F.xxhash64(part).alias("h"), F.xxhash64(F.lit(1), part).alias("h2")).join(twice, ["h", "h2"])
-        met = met.select("did", "th", F.struct("start", F.lit(size).alias("n")).alias("span"), "items")
-        found = met if found is None else found.unionByName(met)
-    return found.groupBy("did", "th").agg(F.sort_array(F.collect_set("span")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    at = keyed.select("did", "th", "words", F.posexplode("words").alias("start", "word"))
+    part = F.slice("words", F.col("start") + 1, F.col("size"))
+    if (facts["bytes"] or 0) <= BROADCAST_BYTES:
+        # Most places end at the set of opening words. The words stay in the row for the comparison, which is free as long as nothing is shuffled.
+        opening = F.when(F.col("size") > 1, _opening(F.split_part("gram", F.lit(" "), F.lit(1)), F.split_part("gram", F.lit(" "), F.lit(2)), 2)).otherwise(_opening(F.split_part("gram", F.lit(" "), F.lit(1)), None, 1))
+        heads = grams.select(opening.alias("f"), F.col("size")).distinct()
+        pair, single = _opening(F.col("word"), F.get("words", F.col("start") + 1), 2), _opening(F.col("word"), None, 1)
+        own = F.explode(F.array(pair, single)) if sizes[0] == 1 and sizes[-1] > 1 else single if sizes[-1] == 1 else pair
+        met = at.withColumn("f", own).join(F.broadcast(heads), "f").where(F.col("start") <= F.size("words") - F.col("size"))
+        met = met.withColumn("h", F.xxhash64(part)).join(F.broadcast(grams), ["h", "size"]).where(F.concat_ws(" ", part) == F.col("gram"))
+    else:  # rows that are shuffled hold hashes in place of words: a text's size times its own would go over the wire
+        places = at.withColumn("size", F.explode(F.array(*map(F.lit, sizes)))).where(F.col("start") <= F.size("words") - F.col("size"))
+        twice = grams.select("h", "size", F.xxhash64(F.lit(1), F.split("gram", " ")).alias("h2"), "gram", "items")
+        like = places.select("did", "th", "start", "size", F.xxhash64(part).alias("h"), F.xxhash64(F.lit(1), part).alias("h2")).join(twice, ["h", "h2", "size"])
+        # The words of the few documents that are left are compared with each window that was met.
+        met = like.groupBy("did", "th").agg(F.collect_set(F.struct("start", "size", "gram", "items")).alias("x")).join(keyed, ["did", "th"])
+        met = met.select("did", "th", "words", F.explode("x").alias("x")).select("did", "th", "words", "x.*").where(F.concat_ws(" ", part) == F.col("gram"))
+    met = met.select("did", "th", F.struct("start", F.col("size").alias("n")).alias("span"), "items")
+    return met.groupBy("did", "th").agg(F.sort_array(F.collect_set("span")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
 
 
 def _covered(spans: Column) -> Column:
@@ -88,7 +91,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """One row per row of docs: doc_id, n_words, n_hit, spans, items.
 
     Null and empty texts have no words and no hit. Rows that share doc_id and text get the same result; a null doc_id is a
-    value like any other. An empty benchmark hits nothing.
+    value like any other, and ids may be of any type. Ties have no effect; an empty benchmark hits nothing, an empty table
+    gives no row; other columns, of whatever name, are ignored.
     """
     found = hits(docs, benchmark, window)
     base = row_key(docs.select("doc_id", "text")).select("doc_id", "did", "th", F.size(words_of("text", folded=False)).cast("long").alias("n_words"))
@@ -97,13 +101,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of docs (any columns) in which no benchmark window occurs."""
-    found = hits(docs, benchmark, window).select(F.col("did").alias("_did"), F.col("th").alias("_th"))
-    did, th = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.xxhash64("text")
-    return docs.join(found, (did == F.col("_did")) & (th == F.col("_th")), "left_anti")
+    """The rows of docs (all their columns, of whatever name) in which no benchmark window occurs.
+
+    Rows with null or empty text stay; rows that repeat stay or go together; an empty benchmark drops nothing.
+    """
+    found = hits(docs, benchmark, window).select("did", "th")
+    rows = row_key(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text"))
+    return rows.select("row", "did", "th").join(found, ["did", "th"], "left_anti").select("row.*")
 
 
 def op4_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """contamination() as counts and a digest, of every document; edges as there."""
     out = contamination(docs, benchmark)
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 

@@ -15,10 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, blocks, fold_of, tune
+from .common import Shared, blocks, durable, fold_of, scratch, thinned, tune
 
-#: Bytes of the longest context, documents of a language that are learnt from at most, bytes that are scored at once.
-ORDER, FIT_DOCS, PIECE = 4, 250, 1_000_000
+#: Bytes of the longest context, documents of a language and bytes of all that are learnt from at most, bytes that are scored at once.
+ORDER, FIT_DOCS, FIT_BYTES, PIECE = 4, 250, 24_000_000, 1_000_000
 START = b"\n" * ORDER
 
 
@@ -146,14 +146,22 @@ class Model:
 
 
 def fit(docs: DataFrame, per_lang: int = FIT_DOCS) -> Model:
-    """Statistics of about `per_lang` documents of each language at most, taken by a hash of doc_id from the learning folds."""
+    """Statistics of about `per_lang` documents of each language at most, taken by a hash of doc_id from the learning folds.
+
+    FIT_BYTES of text at most are learnt from in all, less where there are many languages (a known context holds a number for
+    each): that bounds what reaches the driver and the broadcast. Rows without text, lang or id teach nothing, nor do empty texts;
+    repeated rows count each; without any there is no language.
+    """
+    spark = docs.sparkSession
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.coalesce(fold_of("doc_id", 5) != 0, F.lit(False)))
     share = {r["lang"]: min(1.0, per_lang / r["count"]) for r in usable.groupBy("lang").count().collect()}
-    rates = docs.sparkSession.createDataFrame(sorted((k, int(v * (1 << 30))) for k, v in share.items()), "lang string, rate long")
+    rates = spark.createDataFrame(sorted((k, int(v * (1 << 30))) for k, v in share.items()), "lang string, rate long")
     chosen = usable.select("doc_id", "lang", "text").join(F.broadcast(rates), "lang").where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(23)), F.lit(1 << 30)) < F.col("rate"))
     texts: dict[str, list[bytes]] = {lang: [] for lang in share}
-    for r in chosen.select("doc_id", "lang", "text").orderBy("doc_id").toLocalIterator():
-        texts[r["lang"]].append(r["text"].encode())
+    with scratch(spark):
+        held = thinned(durable(chosen.select("doc_id", "lang", "text")), int(FIT_BYTES * min(1.0, 20 / max(1, len(share)))), 24)
+        for r in held.orderBy("doc_id", "lang", "text").toLocalIterator():
+            texts[r["lang"]].append(r["text"].encode())
     return Model({k: v for k, v in texts.items() if v})
 
 
@@ -191,5 +199,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op3_language(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document, by fit() and identify(); null ids are not held out."""
     out = identify(docs.select("doc_id", "text"), fit(docs))
     return out.select("doc_id", F.coalesce(fold_of("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")

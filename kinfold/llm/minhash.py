@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, durable, hashes, mix, release, row_key, tune
+from .common import WordHashes, blocks, durable, hashes, mix, release, row_key, scratch, tune
 
 #: Bands and rows of a band. A pair at Jaccard 0.8 shares no band with probability (1 - 0.8^6)^48 < 5e-7.
 BANDS, ROWS = 48, 6
@@ -277,6 +277,11 @@ def grouped(docs: DataFrame, size: int, percent: int, bands: int = BANDS, rows:
     further hubs, about HUBS a turn, until every pair of different groups in them has been tried; members of the largest
     group of a bucket serve as partners, not as hubs. A member's turn is drawn by hash, so no bucket is ever sorted in one task.
     """
+    with scratch(docs.sparkSession) as made:
+        return made.keep(_grouped(docs, size, percent, bands, rows))
+
+
+def _grouped(docs: DataFrame, size: int, percent: int, bands: int, rows: int) -> DataFrame:
     spark = docs.sparkSession
     tune(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMO_WORDS, blocks, fold_of, labelled_sample, mix, tune
+from .common import MEMO_WORDS, blocks, fold_of, labelled_sample, mix, others, picked, scratch, tune
 
-#: log2 of the number of hash buckets, labelled documents that are learnt from at most, passes over them.
-BITS, FIT_ROWS, PASSES = 20, 12_000, 3
+#: log2 of the number of hash buckets, labelled documents and bytes of their texts that are learnt from at most, passes over them.
+BITS, FIT_ROWS, FIT_BYTES, PASSES = 20, 12_000, 60_000_000, 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.1
 
 _CAPS, _LOWS, _DIGITS, _HIGHS = re.compile(rb"[A-Z]+"), re.compile(rb"[a-z]+"), re.compile(rb"[0-9]+"), re.compile(rb"[\x80-\xff]+")
@@ -80,12 +80,21 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndarray, float]:
-    """Weights and bias of P(quality = 1), from about `rows` labelled documents at most; all-zero weights without labels."""
+    """Weights and bias of P(quality = 1), from about `rows` labelled documents at most; all-zero weights without labels.
+
+    Both bounds hold what reaches the driver: a vector has less than twice as many entries as its text has bytes. Null texts
+    and rows without an id or a label teach nothing, empty texts have no entry. Rows are learnt from in an order drawn by a
+    fixed seed over (doc_id, label, vector), so repeated rows and ties don't make the result depend on partitioning.
+    """
     tune(docs.sparkSession)
-    sample = labelled_sample(docs, labels, "quality", rows)
-    kind = sample.schema["doc_id"].dataType.simpleString()
-    got = sample.mapInArrow(_vectors, f"doc_id {kind}, label int, b array<int>, x array<float>").toArrow().sort_by("doc_id")
-    data = [(np.asarray(b.values), np.asarray(x.values, dtype=np.float64), y) for b, x, y in zip(got["b"], got["x"], got["label"].to_pylist(), strict=True)]
+    with scratch(docs.sparkSession):
+        sample = labelled_sample(docs, labels, "quality", rows, FIT_BYTES)
+        kind = sample.schema["doc_id"].dataType.simpleString()
+        got = sample.mapInArrow(_vectors, f"doc_id {kind}, label int, b array<int>, x array<float>").toArrow().sort_by("doc_id")
+    return _learnt([(np.asarray(b.values), np.asarray(x.values, dtype=np.float64), y) for b, x, y in zip(got["b"], got["x"], got["label"].to_pylist(), strict=True)])
+
+
+def _learnt(data: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, float]:
     if not data:
         return np.zeros((1 << BITS) + 10, np.float32), 0.0
     order = np.random.default_rng(7).permutation(len(data))
@@ -99,9 +108,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.nd
 
 
 def score(docs: DataFrame, weights: np.ndarray, cut: float) -> DataFrame:
-    """Every row of docs (any columns) with quality_score, the probability of quality 1 (0 to 1).
+    """Every row of docs (any columns but quality_score) with quality_score, the probability of quality 1 (0 to 1).
 
-    Null and empty texts have no n-gram and so the score of the cut alone. Repeated rows give repeated results.
+    Null and empty texts have no n-gram and so the score of the cut alone. Repeated rows give repeated results; an empty table none.
     """
     from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -118,10 +127,12 @@ def score(docs: DataFrame, weights: np.ndarray, cut: float) -> DataFrame:
                     out.append(1 / (1 + np.exp(-np.clip((np.dot(w[b], x) if len(b) else 0.0) - at, -30, 30))))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.float64())], names=[*part.schema.names, "quality_score"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("quality_score", DoubleType())]))
+    own = others(docs, "quality_score")
+    return picked(docs, own).mapInArrow(run, StructType([*own, StructField("quality_score", DoubleType())]))
 
 
 def op10_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document, by fit() and score(); null ids are not held out."""
     w, cut = fit(docs, labels)
     out = score(docs.select("doc_id", "text"), w, cut)
     return out.select("doc_id", F.coalesce(fold_of("doc_id", 3) == 1, F.lit(False)).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMO_WORDS, WordHashes, blocks, durable, hashes, mix, release, row_key, tune
+from .common import MEMO_WORDS, WordHashes, blocks, durable, hashes, mix, release, row_key, scratch, tune
 from .fmindex import FMIndex
 
 WINDOW, GRAM = 50, 7
@@ -213,6 +213,11 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Places of equal segments travel together: a passage that very many documents share is one row a block of them until the
     end, where its places are dealt evenly.
     """
+    with scratch(docs.sparkSession) as made:
+        return made.keep(_repeats(docs, window))
+
+
+def _repeats(docs: DataFrame, window: int) -> DataFrame:
     spark = docs.sparkSession
     tune(spark)
     keyed = row_key(docs.select("doc_id", "text")).select("did", "th", "text")
@@ -270,7 +275,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Words are runs of anything but ASCII blanks, unchanged; a window is `window` consecutive words of one document and all
     windows are judged on the input. Null and empty texts have no words and keep the empty text. Repeated rows repeat each
-    other's windows. A row with a null doc_id takes part like any other.
+    other's windows. A row with a null doc_id takes part like any other; ids may be of any type. Ties have no effect; an empty
+    table gives no row.
     """
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -282,5 +288,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def op7_substring(docs: DataFrame) -> DataFrame:
+    """remove_repeats() at 35 words: doc_id, n_words, n_removed, kept_sha256 of every document; edges as there."""
     out = remove_repeats(docs.select("doc_id", "text"), 35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))

@@ -15,14 +15,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MEMO_WORDS, Shared, WordHashes, blocks, durable, fold_of, labelled_sample, mix, tune
+from .common import MEMO_WORDS, Shared, WordHashes, blocks, durable, fold_of, labelled_sample, mix, others, picked, scratch, tune
 from .minhash import shingle_hashes
 
-#: Labelled documents learnt from at most, scored units kept at most, prior mass (in documents, a sixteenth of all at most), least documents of a unit, loss of a plain word.
-FIT_ROWS, UNITS, PRIOR, LEAST_DOCS, LOSS = 12_000, 60_000, 500.0, 4, 0.15
+#: Labelled documents, and bytes of their texts, learnt from at most, prior mass (in documents, a sixteenth of all at most), least documents of a unit, loss of a plain word.
+FIT_ROWS, FIT_BYTES, PRIOR, LEAST_DOCS, LOSS = 12_000, 200_000_000, 500.0, 4, 0.15
+#: Quantiles by which the scores met in toxic documents stand in for what background text was too short to show.
+UNSEEN = 50
 #: Least score of a segment over the chance level to count.
 CHANCE = 0.0
 #: Hash functions of the sketch by which copies among the learnt documents are told.
@@ -117,21 +119,24 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
     Only positive scores are visited: sums of what lies between come from a running total.
     """
     total = np.concatenate(([0.0], np.cumsum(scores, dtype=np.float64)))
-    stack: list[tuple[float, float, int, int]] = []  # total before, total after, first, last + 1
+    out: list[tuple[float, int, int]] = []
+    stack: list[tuple[float, float, int, int, int]] = []  # total before, total after, first, last + 1, nearest to the left with a lower total before
     for i in np.flatnonzero(scores > 0).tolist():
         left, right, a, b = float(total[i]), float(total[i + 1]), i, i + 1
         while True:
             j = len(stack) - 1
-            skipped = []
             while j >= 0 and stack[j][0] >= left:
-                skipped.append(stack[j])
-                j -= 1
-            if j < 0 or stack[j][1] >= right:
-                stack.append((left, right, a, b))
+                j = stack[j][4]
+            if j < 0:  # nothing to the left can grow any more
+                out += [(r - le, x, y) for le, r, x, y, _ in stack]
+                stack = [(left, right, a, b, -1)]
+                break
+            if stack[j][1] >= right:
+                stack.append((left, right, a, b, j))
                 break
             left, a = stack[j][0], stack[j][2]
             del stack[j:]
-    return [(r - le, a, b) for le, r, a, b in stack]
+    return out + [(r - le, x, y) for le, r, x, y, _ in stack]
 
 
 def _found(batches: Iterator[pa.RecordBatch], shared: object) -> Iterator[pa.RecordBatch]:
@@ -169,8 +174,10 @@ class Law:
 def _law(rows: list[tuple[int, int, list[float], list[float]]]) -> Law:
     plain = [r for r in rows if r[0] == 0]
     tokens = sum(r[1] for r in plain) + 2
-    values = np.array([v for r in plain for v in r[3]] + [v for r in rows if r[0] == 1 for v in r[3]][:50] or [1.0])
-    weight = 1.0 / tokens  # of each value among background tokens; a few toxic ones stand in for what was not seen there
+    toxic = np.array([v for r in rows if r[0] == 1 for v in r[3]])
+    unseen = np.quantile(toxic, (np.arange(UNSEEN) + 0.5) / UNSEEN) if len(toxic) else np.array([1.0])
+    values = np.concatenate((np.array([v for r in plain for v in r[3]]), unseen))
+    weight = 1.0 / tokens  # of each value among background tokens
     lo, hi = 1e-3, 20.0
     for _ in range(60):  # sum of p(s) exp(lam s) = 1
         lam = (lo + hi) / 2
@@ -198,11 +205,18 @@ def _law(rows: list[tuple[int, int, list[float], list[float]]]) -> Law:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[dict[int, float], Law]:
-    """Scores of the units that stand out (UNITS at most) and the law, from about `rows` labelled documents at most."""
+    """Scores of all units that stand out and the law, from about `rows` labelled documents at most (and FIT_BYTES of text).
+
+    Null texts and rows without an id or a label teach nothing; empty ones count as documents without units; of documents
+    that are near copies one is learnt from. Without labels of both kinds no unit stands out. Ties in unit counts have no effect.
+    """
     spark = docs.sparkSession
     tune(spark)
-    sample = durable(labelled_sample(docs, labels, "toxic", rows))
-    sample = durable(_distinct(sample))
+    with scratch(spark):
+        return _fitted(spark, durable(_distinct(labelled_sample(docs, labels, "toxic", rows, FIT_BYTES))))
+
+
+def _fitted(spark: SparkSession, sample: DataFrame) -> tuple[dict[int, float], Law]:
     size = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     d0, d1 = size.get(0, 0), size.get(1, 0)
     known: dict[int, float] = {}
@@ -217,18 +231,20 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[dict[
         rest0, rest1 = d0 * (1 + mass / (d0 + d1)) - y0 + 1, d1 * (1 + mass / (d0 + d1)) - y1 + 1
         odds = F.log(y1 / rest1) - F.log(y0 / rest0)
         best = n.select("unit", odds.alias("s"), (odds / F.sqrt(1 / y0 + 1 / y1 + 1 / rest0 + 1 / rest1)).alias("z")).where(F.col("z") >= least)
-        known = {r["unit"]: r["s"] for r in best.orderBy(F.col("z").desc(), "unit").limit(UNITS).collect()}
+        known = {r["unit"]: r["s"] for r in best.collect()}  # no more than there are units in the bounded sample
     shared = Shared(spark, known)
     found = sample.mapInArrow(lambda it: _found(it, shared), "label int, n long, segs array<double>, plus array<double>").collect()
     return known, _law([(r[0], r[1], r[2], r[3]) for r in found])
 
 
 def score(docs: DataFrame, known: dict[int, float], law: Law) -> DataFrame:
-    """Every row of docs (any columns) with toxicity (0 to 1) and passages: the segments above chance, as (first token, number
-    of tokens, excess). Null and empty texts have none and get the curve's value for none. Repeated rows repeat results."""
+    """Every row of docs (any columns but toxicity and passages) with toxicity (0 to 1) and passages: the segments above chance,
+    as (first token, number of tokens, excess). Null and empty texts have none and get the curve's value for none. Time is
+    linear in the text. Repeated rows repeat results; an empty table gives none."""
     from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
     tune(docs.sparkSession)
+    own_fields = others(docs, "toxicity", "passages")
     shared = Shared(docs.sparkSession, (known, law))
     passage = StructType([StructField("start", IntegerType()), StructField("n", IntegerType()), StructField("excess", DoubleType())])
     arrow = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("excess", pa.float64())]))
@@ -248,10 +264,11 @@ def score(docs: DataFrame, known: dict[int, float], law: Law) -> DataFrame:
                 p = rule.probability(np.array(stats, float)) if stats else np.zeros(0)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p, pa.float64()), pa.array(spans, arrow)], names=[*part.schema.names, "toxicity", "passages"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("toxicity", DoubleType()), StructField("passages", ArrayType(passage))]))
+    return picked(docs, own_fields).mapInArrow(run, StructType([*own_fields, StructField("toxicity", DoubleType()), StructField("passages", ArrayType(passage))]))
 
 
 def op2_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted, n_passages of every document, by fit() and score(); null ids are not held out."""
     known, law = fit(docs, labels)
     out = score(docs.select("doc_id", "text"), known, law)
     return out.select("doc_id", F.coalesce(fold_of("doc_id", 3) == 1, F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.7).cast("int").alias("predicted"), F.size("passages").cast("long").alias("n_passages"))

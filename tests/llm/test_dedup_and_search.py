@@ -246,7 +246,8 @@ def topk_brute(rows, k):
 
 @pytest.mark.parametrize("n", [3, 15, 200])
 def test_topk(spark, monkeypatch, n):
-    monkeypatch.setattr(topk, "BLOCK", 4)
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(topk, "TURN", 3)
     monkeypatch.setattr(topk, "CHUNK", 16)
     r = random.Random(n)
     rows = [(i, [r.uniform(-1, 1) for _ in range(6)] if r.random() < 0.7 else [0.5] * 6) for i in range(n)]

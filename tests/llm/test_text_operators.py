@@ -196,8 +196,8 @@ def test_decontamination(spark, monkeypatch):
     docs = [(i, text(40)) for i in range(40)] + [(100 + i, text(5) + (t or "") + text(5)) for i, (_, t) in enumerate(items)] + EDGES
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     want = sorted(((d, *decontaminate_brute(t, items)[:2], ",".join(decontaminate_brute(t, items)[2])) for d, t in docs), key=str)
-    for limit in (decontam.BROADCAST_WINDOWS, 0):  # by broadcast, and by the way beyond its bound
-        monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", limit)
+    for limit in (decontam.BROADCAST_BYTES, 0):  # by broadcast, and by the way beyond its bound
+        monkeypatch.setattr(decontam, "BROADCAST_BYTES", limit)
         got = decontam.contamination(df, bench).collect()
         assert sorted(((x["doc_id"], x["n_words"], x["n_hit"], ",".join(x["items"])) for x in got), key=str) == want
     assert decontam.drop_contaminated(df, bench).count() == sum(w[2] == 0 for w in want)
@@ -219,6 +219,8 @@ def test_sharding_laws(spark, by):
     order = [x["curve"] for s in sorted(shards) for x in sorted(shards[s], key=lambda x: x["slot"])]
     assert order == sorted(order)
     if by == "rows":
+        plain = sorted(got, key=lambda x: (x["curve"], x["text_crc32"], x["doc_id"] is not None, x["doc_id"] or 0))
+        assert [x["shard"] for x in plain] == [i * 40 // len(plain) for i in range(len(plain))]
         sizes = [len(shards.get(s, [])) for s in range(40)]
         assert max(sizes) - min(sizes) <= 1
     else:
@@ -241,6 +243,31 @@ def test_write_shards(spark, tmp_path):
     assert back.count() == 80 and {r["count"] for r in back.groupBy("shard").count().collect()} == {10}
 
 
+def test_write_shards_of_repeated_rows_and_empty_tables(spark, tmp_path):
+    rows = [(1, "same", "en", "s", "x", 7)] * 20 + [(None, None, None, None, "y", 7)] * 2 + [(i, "x" * i, "en", "s", "z", 7) for i in range(18)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, `row` string, `slot` int")
+    sharding.write_shards(df, str(tmp_path / "out"), 8)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {r["count"] for r in back.groupBy("shard").count().collect()} == {5}
+    assert sorted(map(tuple, back.select(*df.columns).collect()), key=str) == sorted(rows, key=str)
+    sharding.write_shards(empty(df), str(tmp_path / "none"), 8)
+
+
+def test_shards_prune_by_every_dimension(spark):
+    """Of the shards by rows as they come nearly all can hold a language, a source or a size; along the curve far fewer."""
+    r = random.Random(3)
+    rows = [(i, "t" * r.randint(1, 4000), r.choice(["de", "en", "es", "fr"]), f"src{r.randrange(20)}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    at = {x["doc_id"]: x["shard"] for x in sharding.shard(df, 40).collect()}
+    for value in (lambda x: x[2], lambda x: x[3], lambda x: len(x[1]) // 500):
+        for place, most in ((lambda x: at[x[0]], 0.5), (lambda x: x[0] * 40 // len(rows), None)):
+            held = {}
+            for x in rows:
+                held.setdefault(place(x), []).append(value(x))
+            left = sum(sum(min(h) <= v <= max(h) for h in held.values()) for v in set(map(value, rows))) / 40 / len(set(map(value, rows)))
+            assert left < most if most else left > 0.85
+
+
 def test_licenses(spark):
     rows = [(100, "Some text.\nReleased under the MIT License.\nMore."), (101, "licensed under CC BY-NC 4.0"), (102, "Nothing is licensed here at all."), (103, "This work is licensed\nunder the GNU General Public License, version 3.")]
     got = {r["doc_id"]: (r["n_matches"], r["licenses"]) for r in license.op9_license(spark.createDataFrame(rows + EDGES, "doc_id long, text string")).collect()}
