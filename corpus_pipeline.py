@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm import bpe, decontam, minhash, quality, substring
-from kinfold.llm.common import durable, table
+from kinfold.llm.common import durable, scratch, table
 
 #: Words of a window that counts as a repeated passage.
 PASSAGE_WORDS = 50
@@ -20,7 +20,8 @@ PASSAGE_WORDS = 50
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject (score 0.5 or more)."""
     weights, cut = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, weights, cut).where("quality_score >= 0.5").drop("quality_score")
+    scored = quality.score(docs.withColumnsRenamed({"quality_score": "__own_score"}), weights, cut).where("quality_score >= 0.5").drop("quality_score")
+    return scored.withColumnsRenamed({"__own_score": "quality_score"}).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,13 +31,14 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that also start elsewhere; untouched texts stay as they are."""
-    out = substring.remove_repeats(docs, PASSAGE_WORDS)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in rest), F.lit(0).alias("__one")).alias("__rest"))
+    out = substring.remove_repeats(rows, PASSAGE_WORDS)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    changed = out.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+    new = {"doc_id": F.col("doc_id"), "text": text} | {c: F.col("__rest")[c] for c in rest}
+    if "n_chars" in rest:
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(new["n_chars"])
+    return out.select(*(new[c].alias(c) for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,13 +63,12 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another over `documents`, each result written before it is read again."""
+    """The stages one after another over `documents`, each result written before it is read again (and deleted once it has been)."""
     docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = durable(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        with scratch(spark) as made:
+            docs = made.keep(durable(stage(spark, docs, sf_dir)))
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 #: The classifier and the tokenizer can't be put in SQL: run() is tested against a brute-force version.
