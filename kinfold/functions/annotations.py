@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _COMMENT = r"^(.*?)(?:\s+(#+)\s+(.*))?$"
+_HASH = r"\s*#.*$"
 
 
 def split_comment(text: Column) -> Column:
@@ -19,14 +20,24 @@ def is_truncated(text: Column) -> Column:
     return (c["sep"] == "#") & c["comment"].rlike("^(frag|missing|trunc)")
 
 
+def strip_comment(text: Column) -> Column:
+    """The function without its comment: all from the first # on, and the blanks before it."""
+    return F.regexp_replace(text, _HASH, "")
+
+
 def strip_function(text: Column) -> Column:
     """The function without comment and without a leading FIG number."""
-    return F.regexp_replace(split_comment(text)["func"], r"^FIG\d{6}[^:]*:\s*", "")
+    return F.regexp_replace(text, _HASH + r"|^FIG\d{6}[^:]*:\s*", "")
 
 
 def roles(text: Column) -> Column:
-    """The roles of a multi-role function, parted by ` / `, ` @ ` or `; `."""
-    return F.split(split_comment(text)["func"], r"\s+[/@]\s+|\s*;\s+")
+    """The roles of a multi-role function, parted by ` / `, ` @ ` or `; `; a comment is none."""
+    return F.split(strip_comment(text), r"\s+[/@]\s+|\s*;\s+")
+
+
+def is_hypothetical(function: Column) -> Column:
+    """A function without content: the plain hypothetical one, or one that was named by a core cluster's id."""
+    return (function == "hypothetical protein") | function.contains("core_cid")
 
 
 def fusion_parts(text: Column) -> Column:
@@ -75,13 +86,19 @@ def clamp_byte(x: Column) -> Column:
     return F.least(F.lit(255.0), F.greatest(F.lit(0.0), x * 30)).cast("int")
 
 
-def gene_name(aliases: Column) -> Column:
-    """Of comma-parted aliases: a locus tag if one is marked so, else a name of four letters, else the last without a prefix."""
-    each = F.transform(F.split(aliases, ","), lambda a: F.trim(a))
-    locus = F.transform(F.filter(each, lambda a: a.rlike(r"^(locus\||LocusTag:)")), lambda a: F.regexp_replace(a, r"^(locus\||LocusTag:)", ""))
-    gene = F.filter(each, lambda a: a.rlike("^[A-Za-z]{4}$"))
-    plain = F.filter(each, lambda a: ~a.contains("|") & ~a.contains(":"))
-    return F.coalesce(F.try_element_at(locus, F.lit(1)), F.try_element_at(gene, F.lit(1)), F.try_element_at(plain, F.lit(-1)))
+def names_of(aliases: Column) -> Column:
+    """(gene, alias) of comma-parted aliases, read up to the first locus tag (`locus|` or `LocusTag:`).
+
+    gene: the last name of four letters; alias: the locus tag, or without one the last name without a prefix. Null if there is none.
+    """
+    each = F.split(aliases, ",")
+    mark = r"^(locus\||LocusTag:)"
+    at = F.array_position(F.transform(each, lambda a: a.rlike(mark)), True)
+    read = F.when(at > 0, F.slice(each, F.lit(1), (at - 1).cast("int"))).otherwise(each)
+    gene = F.try_element_at(F.filter(read, lambda a: a.rlike("^[A-Za-z]{4}$")), F.lit(-1))
+    plain = F.try_element_at(F.filter(read, lambda a: ~a.rlike("[:|]")), F.lit(-1))
+    tag = F.regexp_replace(F.try_element_at(each, at.cast("int")), mark, "")
+    return F.struct(gene.alias("gene"), F.when(at > 0, tag).otherwise(plain).alias("alias"))
 
 
 def attributes(text: Column) -> Column:

@@ -39,6 +39,16 @@ def valid_kmer(kmer: Column, k: int = K) -> Column:
     return kmer.rlike(f"^[{AMINO}{AMINO.lower()}]{{{k}}}$")
 
 
+def call_kmers(df: DataFrame, seq: str, k: int = K) -> DataFrame:
+    """df with a row per window that calling looks at: pos (from 0) and kmer.
+
+    Windows with `*` or `X` are skipped, and so is the one that ends just before such a letter.
+    """
+    rows = explode_kmers(df.withColumn("_seq", F.col(seq)), seq, k)
+    after = F.substring(F.col("_seq"), F.col("pos") + k + 1, F.lit(1))
+    return rows.where(~F.col("kmer").rlike("[*X]") & ~after.isin("*", "X")).drop("_seq")
+
+
 def callable_windows(seq: Column, k: int = K, strict_reference: bool = True) -> Column:
     """How many windows calling looks at: those without `*` or `X`, and by the strict rule not followed by one either."""
     clean = F.regexp_extract_all(seq, F.lit(r"[^*X]+"), F.lit(0))

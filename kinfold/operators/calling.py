@@ -1,24 +1,22 @@
 """Function calling: hits of a sequence are folded into regions, regions into one call.
 
-The fold of a sequence's hits is sequential by definition, so it runs as a grouped map over one sequence at a time (a sequence
-has at most as many hits as letters); gap-only regions and the collapsing of neighbours are plain window plans.
+The fold of a sequence's hits is sequential by definition, so it runs over rows that stream through a task in order, one run of
+hits at a time; gap-only regions and the collapsing of neighbours are plain window plans.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from statistics import median
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .signatures import Options
 
-REGION = "id string, start long, stop long, n long, function string, weight double, med_len double, mad double"
-CALL = "id string, function string, score double, offset double"
-
-
 def gap_regions(hits: DataFrame, max_gap: int, min_hits: int) -> DataFrame:
     """Regions by the gap rule alone: (id, region, start, stop, n, weight) of runs whose neighbours are max_gap apart at most."""
     w = Window.partitionBy("id").orderBy("pos", "ord")
@@ -35,50 +33,68 @@ def collapse(rows: DataFrame) -> DataFrame:
     return marked.groupBy("id", "run", "function").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"))
 
 
-def fold(hits: list[tuple], o: Options = Options()) -> list[dict]:
-    """Regions of hits (pos, function, weight, mean length, distance from end) that come in order of pos.
+class Folder:
+    """Folds hits (pos, function, weight, mean length, distance from end, otu) that come in order of pos into regions.
 
     A region is the hits of its function in a run. It ends at a gap above max_gap, or once two hits in a row share another
     function; these two then open the next. A single stray hit ends nothing. Whether a run is long enough at a gap counts
-    strays too; whether it is emitted counts its function's hits alone.
+    strays too; whether it is emitted counts its function's hits alone. A region's otus are those of its hits but the last.
     """
-    out: list[dict] = []
-    run: list[tuple] = []
-    current = None
 
-    def flush() -> None:
-        nonlocal run, current
+    def __init__(self, o: Options):
+        self.o, self.run, self.current = o, [], None
+        self.regions: list[dict] = []
+        self.otus: Counter = Counter()
+
+    def _flush(self) -> None:
+        run, current = self.run, self.current
         own = [h for h in run if h[1] == current]
-        if own and len(own) >= o.min_hits and sum(h[2] for h in own) >= o.min_weighted:
+        weight = float(sum(h[2] for h in own))
+        if own and len(own) >= self.o.min_hits and weight >= self.o.min_weighted:
             mid = median(h[3] for h in own)
-            out.append({"start": run[0][0], "stop": own[-1][0] + 7, "n": len(own), "function": current, "weight": float(sum(h[2] for h in own)), "med_len": float(int(mid)), "mad": float(median(abs(h[3] - mid) for h in own))})
+            self.regions.append({"start": run[0][0], "stop": own[-1][0] + 7, "n": len(own), "function": current, "weight": weight, "med_len": float(int(mid)), "mad": float(median(abs(h[3] - mid) for h in own))})
+            self.otus.update(h[5] for h in own[:-1] if len(h) > 5 and h[5] is not None)
         if len(run) > 1 and run[-1][1] == run[-2][1] != current:
-            run, current = run[-2:], run[-1][1]
+            self.run, self.current = run[-2:], run[-1][1]
         else:
-            run = []
+            self.run = []
+
+    def add(self, h: tuple) -> None:
+        if self.run and self.run[-1][0] + self.o.max_gap < h[0]:
+            if len(self.run) >= self.o.min_hits:
+                self._flush()
+            else:
+                self.run = []
+        if not self.run:
+            self.current = h[1]
+        elif self.o.order_constraint and not (h[1] == self.run[-1][1] and abs((h[0] - self.run[-1][0]) - (self.run[-1][4] - h[4])) <= 20):
+            return
+        self.run.append(h)
+        if len(self.run) > 1 and h[1] != self.current and self.run[-2][1] == h[1]:
+            self._flush()
+
+    def end(self) -> list[dict]:
+        if len(self.run) >= self.o.min_hits:
+            self._flush()
+        return self.regions
+
 
+def fold(hits: list[tuple], o: Options = Options()) -> list[dict]:
+    """The regions of a sequence's hits."""
+    f = Folder(o)
     for h in hits:
-        if run and run[-1][0] + o.max_gap < h[0]:
-            if len(run) >= o.min_hits:
-                flush()
-            run = []
-        if not run:
-            current = h[1]
-        elif o.order_constraint and not (h[1] == run[-1][1] and abs((h[0] - run[-1][0]) - (run[-1][4] - h[4])) <= 20):
-            continue
-        run.append(h)
-        if len(run) > 1 and h[1] != current and run[-2][1] == h[1]:
-            flush()
-    if len(run) >= o.min_hits:
-        flush()
-    return out
+        f.add(h)
+    return f.end()
 
 
 def joined(regions: list[dict]) -> list[dict]:
-    """Neighbours of one function made one; then F1 F2 F1 with few F2 (under 5) and enough F1 (10 or more) made F1, as often as it goes."""
+    """Neighbours of one function made one; then F1 F2 F1 with few F2 (under 5) and enough F1 (10 or more) made F1, as often as it goes.
+
+    What is made one keeps the first's lengths.
+    """
 
     def two(a: dict, b: dict) -> dict:
-        return {**a, "stop": b["stop"], "n": a["n"] + b["n"], "weight": a["weight"] + b["weight"], "med_len": (a["med_len"] * a["n"] + b["med_len"] * b["n"]) / (a["n"] + b["n"])}
+        return {**a, "stop": b["stop"], "n": a["n"] + b["n"], "weight": a["weight"] + b["weight"]}
 
     out: list[dict] = []
     for r in regions:
@@ -97,67 +113,106 @@ def joined(regions: list[dict]) -> list[dict]:
 
 
 def fusion(regions: list[dict]) -> str | None:
-    """The multi-role function that a row of regions spells: its first part, itself in between, its second part, in order, with
-    the parts' lengths adding up to its own within a tenth."""
-    names = {r["function"] for r in regions}
-    for whole in sorted(n for n in names if n.count(" / ") == 1):
-        first, second = whole.split(" / ")
-        letter = {first: "A", second: "B", whole: "W"}
-        if not {first, second} <= names or not names <= letter.keys():
-            continue
-        spelt = "".join(letter[r["function"]] for r in regions)
-        if not re.fullmatch(r"W?A[AW]*W[BW]*BW?", spelt):
-            continue
-        mean = {k: sum(r["med_len"] for r in regions if r["function"] == k) / spelt.count(letter[k]) for k in letter}
-        if mean[whole] and abs(mean[first] + mean[second] - mean[whole]) / mean[whole] < 0.1:
-            return whole
-    return None
+    """The multi-role function that a row of regions spells: one part, itself in between, another part, in order, with the parts'
+    lengths adding up to its own within a tenth. Parts are lettered in the order in which they are met."""
+    parts: dict[str, str] = {}
+    wholes: dict[tuple, str] = {}
+    spelt, lengths, names = [], {}, {}
+    for r in regions:
+        own = tuple(parts.setdefault(p, f"p{len(parts)}") for p in r["function"].split(" / "))
+        sign = own[0] if len(own) == 1 else wholes.setdefault(own, f"w{len(wholes)}")
+        spelt.append(sign)
+        lengths.setdefault(sign, []).append(r["med_len"])
+        names[sign] = r["function"]
+    sign = {"p0": "A", "p1": "B", "w0": "W"}
+    if not re.fullmatch(r"W?A[AW]*W[BW]*BW?", "".join(sign.get(x, "-") for x in spelt)):
+        return None
+    a, b, w = (sum(lengths[k]) / len(lengths[k]) for k in ("p0", "p1", "w0"))
+    return names["w0"] if w and abs(a + b - w) / w < 0.1 else None
 
 
-def best_call(regions: list[dict], least: float = 5.0, ambiguous: bool = False) -> tuple[str, float, float] | None:
-    """(function, score, lead over the next) of a sequence's regions, or None where no function leads by `least` hits."""
+def scored_call(regions: list[dict], least: float = 5.0, ambiguous: bool = False) -> tuple[str, float, float, float] | None:
+    """(function, score, offset, weighted score) of a sequence's regions, or None where no function leads by `least` hits.
+
+    A fusion has offset 0. If ambiguous calls are wanted, two functions that lie close are named together: with others behind
+    them only if these are more than two hits behind, and the offset is then the distance to them.
+    """
     regions = joined(regions)
     if not regions:
         return None
     if len(regions) > 1 and (whole := fusion(regions)):
-        n = float(sum(r["n"] for r in regions))
-        return whole, n, n
-    score: dict[str, int] = {}
+        return whole, float(sum(r["n"] for r in regions)), 0.0, float(sum(r["weight"] for r in regions))
+    score: dict[str, list[float]] = {}
     for r in regions:
-        score[r["function"]] = score.get(r["function"], 0) + r["n"]
-    rank = sorted(score.items(), key=lambda x: (-x[1], x[0]))
-    lead = rank[0][1] - (rank[1][1] if len(rank) > 1 else 0)
+        s = score.setdefault(r["function"], [0, 0.0])
+        s[0], s[1] = s[0] + r["n"], s[1] + r["weight"]
+    rank = sorted(((f, n, w) for f, (n, w) in score.items()), key=lambda x: (-x[1], x[0]))
+    lead = float(rank[0][1] - (rank[1][1] if len(rank) > 1 else 0))
     if lead >= least:
-        return rank[0][0], float(rank[0][1]), float(lead)
-    if ambiguous and (len(rank) == 2 or rank[1][1] - rank[2][1] > 2):
-        a, b = sorted((rank[0][0], rank[1][0]), reverse=True)
-        return f"{a} ?? {b}", float(rank[0][1]), float(lead)
+        return rank[0][0], float(rank[0][1]), lead, float(rank[0][2])
+    if ambiguous and len(rank) > 1:
+        both = " ?? ".join(sorted((rank[0][0], rank[1][0]), reverse=True))
+        if len(rank) == 2:
+            return both, float(rank[0][1]), lead, 0.0
+        if (behind := float(rank[1][1] - rank[2][1])) > 2:
+            return both, float(rank[0][1]), behind, float(rank[0][2])
     return None
 
 
-def _rows(pdf: pd.DataFrame) -> list[tuple]:
-    pdf = pdf.sort_values(["pos", "function"])
-    return list(zip(pdf["pos"].tolist(), pdf["function"].tolist(), pdf["weight"].tolist(), pdf["mean"].tolist(), pdf["from_end"].tolist(), strict=True))
+def best_call(regions: list[dict], least: float = 5.0, ambiguous: bool = False) -> tuple[str, float, float] | None:
+    """(function, score, offset) of scored_call()."""
+    got = scored_call(regions, least, ambiguous)
+    return got[:3] if got else None
 
 
-def regions(hits: DataFrame, o: Options = Options()) -> DataFrame:
-    """Regions of each sequence's hits (id string, pos, function, weight, mean, from_end)."""
+def folded(hits: DataFrame, o: Options = Options(), ambiguous: bool = False, least: float = 5.0, top: int = 5) -> DataFrame:
+    """(id, regions, call, otus) of every sequence with hits (id string, pos, function, weight, mean, from_end, and otu if there is one).
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = fold(_rows(pdf), o)
-        return pd.DataFrame([{"id": pdf["id"].iloc[0], **r} for r in found], columns=["id", "start", "stop", "n", "function", "weight", "med_len", "mad"])
-
-    return hits.groupBy("id").applyInPandas(run, REGION)
+    otus: the `top` commonest of the emitted regions' hits (ties: the least). Hits stream through a task in order of id and
+    place, so a task holds one run of hits at a time, however long a sequence is.
+    """
+    order = ["id", "pos", "function"]
+    cols = [*order, "weight", "mean", "from_end"]
+    rows = hits.select(*cols, (F.col("otu") if "otu" in hits.columns else F.lit(None)).cast("string").alias("otu"))
+    region = "start: long, stop: long, n: long, function: string, weight: double, med_len: double, mad: double"
+    kind = f"id string, regions array<struct<{region}>>, call struct<function: string, score: double, offset: double, weighted: double>, otus array<struct<otu: string, n: long>>"
+
+    def close(id_: str, f: Folder) -> dict:
+        found = f.end()
+        got = scored_call(found, least, ambiguous)
+        best = sorted(f.otus.items(), key=lambda x: (-x[1], x[0]))[:top]
+        return {"id": id_, "regions": found, "call": dict(zip(("function", "score", "offset", "weighted"), got, strict=True)) if got else None, "otus": [{"otu": k, "n": n} for k, n in best]}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, f, out = None, None, []
+        for batch in batches:
+            for h in zip(*(batch.column(c).to_pylist() for c in ("id", "pos", "function", "weight", "mean", "from_end", "otu")), strict=True):
+                if f is None or h[0] != now:
+                    if f is not None:
+                        out.append(close(now, f))
+                    now, f = h[0], Folder(o)
+                f.add(h[1:])
+            if len(out) >= 1000:
+                yield pa.RecordBatch.from_pylist(out, schema=arrow)
+                out = []
+        if f is not None:
+            out.append(close(now, f))
+        yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    part = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("n", pa.int64()), ("function", pa.string()), ("weight", pa.float64()), ("med_len", pa.float64()), ("mad", pa.float64())])
+    call = pa.struct([("function", pa.string()), ("score", pa.float64()), ("offset", pa.float64()), ("weighted", pa.float64())])
+    arrow = pa.schema([("id", pa.string()), ("regions", pa.list_(part)), ("call", call), ("otus", pa.list_(pa.struct([("otu", pa.string()), ("n", pa.int64())])))])
+    return rows.repartition("id").sortWithinPartitions(*order).mapInArrow(run, kind)
 
 
-def calls(hits: DataFrame, o: Options = Options(), ambiguous: bool = False) -> DataFrame:
-    """The call of each sequence that has one."""
+def regions(hits: DataFrame, o: Options = Options()) -> DataFrame:
+    """Regions of each sequence's hits: id, start, stop, n, function, weight, med_len, mad."""
+    return folded(hits, o).select("id", F.explode("regions").alias("r")).select("id", "r.*")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        got = best_call(fold(_rows(pdf), o), ambiguous=ambiguous)
-        return pd.DataFrame([(pdf["id"].iloc[0], *got)] if got else [], columns=["id", "function", "score", "offset"])
 
-    return hits.groupBy("id").applyInPandas(run, CALL)
+def calls(hits: DataFrame, o: Options = Options(), ambiguous: bool = False) -> DataFrame:
+    """The call of each sequence that has one: id, function, score, offset, weighted."""
+    return folded(hits, o, ambiguous).where(F.col("call").isNotNull()).select("id", "call.*")
 
 
 def split_called(calls_: DataFrame, ids: DataFrame, least: float = 1.0) -> DataFrame:

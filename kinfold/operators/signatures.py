@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold.functions.sequences import K, explode_kmers, valid_kmer
+from kinfold.functions.sequences import K, call_kmers, explode_kmers, valid_kmer
 
 
 @dataclass(frozen=True)
@@ -91,3 +91,31 @@ def hits(seqs: DataFrame, sigs: DataFrame, k: int = K) -> DataFrame:
     """(id, pos, len, kmer, function, weight) of each window that is a signature: an equi-join on the k-mer."""
     rows = explode_kmers(seqs.select("id", "seq", F.length("seq").alias("len")), "seq", k).where(valid_kmer(F.col("kmer"), k)).select("id", "pos", "len", "kmer")
     return rows.join(sigs, "kmer")
+
+
+def table(rows: DataFrame, sigs: DataFrame, otus: DataFrame) -> DataFrame:
+    """Signatures (kmer, function, weight, ...) as a lookup table: with the mean length, the distance from the end and the otu.
+
+    otus (id, otu): a k-mer's otu is the commonest among its function's rows (ties: the least).
+    """
+    own = rows.join(sigs.select("kmer", "function"), ["kmer", "function"], "left_semi")
+    per = own.join(otus, "id").groupBy("kmer", "otu").agg(F.count("*").alias("n")).groupBy("kmer").agg(F.min(F.struct((-F.col("n")).alias("m"), "otu")).alias("x"))
+    return sigs.join(length_stats(rows, sigs), "kmer").join(offset_median(rows, sigs), "kmer").join(per.select("kmer", F.col("x.otu").alias("otu")), "kmer", "left")
+
+
+def call_hits(seqs: DataFrame, lookup: DataFrame, k: int = K) -> DataFrame:
+    """(id, pos, function, weight, mean, from_end, otu): hits of the windows that calling looks at.
+
+    lookup is any table of k-mers with the columns of table(): what it comes from makes no difference.
+    """
+    rows = call_kmers(seqs.select("id", "seq"), "seq", k).select("id", "pos", "kmer")
+    return rows.join(lookup, "kmer").select("id", "pos", "function", "weight", F.col("mean").cast("double").alias("mean"), F.col("avg_from_end").alias("from_end"), "otu")
+
+
+def options(**named: str | float) -> Options:
+    """Options by name, from numbers or text; a name that isn't one is an error."""
+    kinds = {f.name: type(f.default) for f in fields(Options)}
+    if unknown := named.keys() - kinds.keys():
+        raise ValueError(f"no such option: {', '.join(sorted(unknown))}")
+    true = lambda v: str(v).lower() in ("1", "true", "yes")
+    return Options(**{k: true(v) if kinds[k] is bool else kinds[k](v) for k, v in named.items()})

@@ -41,8 +41,11 @@ def write_fasta(df: DataFrame, path: str, by: str | None = None) -> None:
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(id, def, seq) of FASTQ files with four lines a record; qualities are dropped."""
-    whole = spark.read.text(path, lineSep="\n@").select(F.regexp_replace(F.translate("value", "\r", ""), "^@", "").alias("v"))
-    parts = F.split("v", "\n")
-    ok = whole.where(F.size(parts) >= 4).select(parts.alias("p"))
+    """(id, def, seq) of FASTQ files with four lines a record; qualities are dropped.
+
+    Files are split on a line that opens with @. Where that is a quality line, the record before it has its three other lines
+    and stays, and what follows has no third line and goes.
+    """
+    parts = F.split(F.regexp_replace(F.translate("value", "\r", ""), "^@", ""), "\n")
+    ok = spark.read.text(path, lineSep="\n@").select(parts.alias("p")).where((F.size("p") >= 3) & F.get("p", F.lit(2)).startswith("+"))
     return ok.select(F.regexp_extract(F.col("p")[0], r"^(\S*)", 1).alias("id"), F.regexp_replace(F.col("p")[0], r"^\S*", "").alias("def"), F.col("p")[1].alias("seq")).where("id <> ''")

@@ -63,6 +63,9 @@ def test_comments(spark):
     assert one(spark, "X ## frag", A.is_truncated) is False
     assert one(spark, "FIG001234: kinase # note", A.strip_function) == "kinase"
     assert one(spark, "A / B; C @ D # x", A.roles) == ["A", "B", "C", "D"]
+    for text in ("kinase #note", "kinase#note", "kinase ## a # b", "FIG001234 (x): kinase   #"):
+        assert one(spark, text, A.strip_function) == "kinase"
+    assert one(spark, "A / B #note", A.roles) == one(spark, "A / B#note", A.roles) == ["A", "B"]
 
 
 def test_ids_and_formats(spark):
@@ -73,9 +76,10 @@ def test_ids_and_formats(spark):
     assert one(spark, "a b,c:d", A.escape_id) == "a%20b%2Cc%3Ad"
     assert one(spark, "a b,c:d", lambda c: A.unescape_id(A.escape_id(c))) == "a b,c:d"
     assert one(spark, "00:11:46", A.minutes) == 11 + 46 / 60
-    assert one(spark, "b123,dnaA,x|y", A.gene_name) == "dnaA"
-    assert one(spark, "b123,LocusTag:ECs1", A.gene_name) == "ECs1"
-    assert one(spark, "b123,x|y", A.gene_name) == "b123"
+    assert tuple(one(spark, "b123,dnaA,x|y", A.names_of)) == ("dnaA", "dnaA")
+    assert tuple(one(spark, "abcD,b123,LocusTag:ECs1,wxyz,last", A.names_of)) == ("abcD", "ECs1")
+    assert tuple(one(spark, "locus|L1,dnaA", A.names_of)) == (None, "L1")
+    assert tuple(one(spark, "gi:1,x|y", A.names_of)) == (None, None)
     assert one(spark, "ID=1;Name=x", A.attributes) == {"ID": "1", "Name": "x"}
     assert one(spark, "624.1127", lambda c: A.cache_path("/c", c)) == "/c/624/624.1127"
     assert one(spark, "7.1", lambda c: A.cache_path("/c", c)) == "/c/007/7.1"
