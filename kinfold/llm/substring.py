@@ -23,6 +23,8 @@ from .fmindex import FMIndex
 WINDOW, GRAM = 50, 7
 #: Segments of an unequal anchor above which its windows are counted by hash; words of a shard's index; words of a piece of a text.
 HOT, SHARD_WORDS, PIECE = 256, 150_000, 4_000_000
+#: Places of a segment that travel as one row: few enough that rows can be dealt evenly, whatever share of the documents holds it.
+PLACES = 16
 _B = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _INVERSE = tuple(np.uint64(pow(int(b), -1, 2**64)) for b in _B)
 
@@ -106,7 +108,7 @@ def _marks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The unequal segments of a block of texts, each distinct one once with all its places there; its words once a task."""
+    """The unequal segments of a block of texts, each distinct one once (or once for PLACES of its places there); its words once a task."""
     told: set[tuple[int, int]] = set()
     kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), _PLACES, pa.binary())
     for batch in batches:
@@ -123,11 +125,12 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
                             words = (text or b"").split() if words is None else words
                             row[5] = b" ".join(words[at : at + x["n"] + window - 1])
                             told.add(key)
-                    row[3] += 1
+                    row[3] += 1  # the length of what follows
                     row[4].append({"did": did, "th": th, "start": at})
             if len(told) > MEMO_WORDS:
                 told.clear()
-            cols = list(zip(*met.values(), strict=True)) or [()] * 6
+            rows = [(*r[:3], len(some), some, None if i else r[5]) for r in met.values() for i in range(0, r[3], PLACES) for some in [r[4][i : i + PLACES]]]
+            cols = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, kinds, strict=True)], names=["a", "s", "hot", "k", "places", "words"])
 
 
