@@ -192,6 +192,36 @@ def hashes(words: list[bytes], memo: WordHashes) -> np.ndarray:
     return np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_BYTE, _BYTE_BACK = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words (parted by ASCII blanks) of all texts in a row, and the number of words of each text.
+
+    A word's hash is the sum of its bytes times powers of an odd number modulo 2^64, finalised with its length: sums up to
+    each byte give those of all words at once, without a step per word.
+    """
+    data = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
+    blank = _BLANK[data]
+    first = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    last = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+    out = np.zeros(len(first), np.uint64)
+    piece = 1 << 20  # words that start in a piece of the bytes are summed together, so powers stay few
+    cut = np.searchsorted(first, np.arange(0, len(data) + piece, piece))
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        if a < b:
+            lo, hi = int(first[a]), int(last[b - 1])
+            n = hi - lo
+            up = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, _BYTE))))
+            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data[lo:hi].astype(np.uint64) + np.uint64(1)) * up[:n])))
+            down = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, _BYTE_BACK))))
+            f, e = first[a:b] - lo, last[a:b] - lo
+            out[a:b] = mix((total[e] - total[f]) * down[f] + (e - f).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F), 21)
+    ends = np.cumsum([len(t) + 1 for t in texts]) + 1
+    return out, np.diff(np.searchsorted(first, ends), prepend=0)
+
+
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply), applied element by element."""
     x = x + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) & (2**64 - 1))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, durable, hashes, mix, release, row_key, scratch, tune
+from .common import blocks, durable, mix, release, row_key, scratch, tune, word_hashes
 
 #: Bands and rows of a band. A pair at Jaccard 0.8 shares no band with probability (1 - 0.8^6)^48 < 5e-7.
 BANDS, ROWS = 48, 6
@@ -29,16 +29,26 @@ CELLS = 64
 _TOP = np.uint64(2**64 - 1)
 
 
-def shingle_hashes(text: bytes | None, size: int, memo: WordHashes) -> np.ndarray:
-    """Distinct hashes of the word shingles of a text (A-Z lower-cased, words parted by ASCII blanks); with fewer words the whole sequence is one."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = hashes(words, memo)
-    n, out = max(1, len(h) - size + 1), np.full(max(1, len(h) - size + 1), len(h) if len(h) < size else size, np.uint64)
-    for k in range(min(size, len(h))):
-        out = mix(out * np.uint64(0x100000001B3) ^ h[k : k + n], 3)
-    return np.unique(out)
+def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    """Distinct hashes of the word shingles of each text (A-Z lower-cased, words parted by ASCII blanks); with fewer words the whole sequence is one."""
+    h, counts = word_hashes([(t or b"").lower() for t in texts])
+    first = np.concatenate(([0], np.cumsum(counts)))
+    n = max(0, len(h) - size + 1)
+    every = np.full(n, size, np.uint64)
+    for k in range(size):
+        every = mix(every * np.uint64(0x100000001B3) ^ h[k : k + n], 3)
+    out = []
+    for a, c in zip(first[:-1].tolist(), counts.tolist(), strict=True):
+        if c >= size:
+            out.append(np.unique(every[a : a + c - size + 1]))
+        elif c:
+            one = np.full(1, c, np.uint64)
+            for k in range(c):
+                one = mix(one * np.uint64(0x100000001B3) ^ h[a + k : a + k + 1], 3)
+            out.append(one)
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
 
 
 def superminhash(elements: np.ndarray, owner: np.ndarray, docs: int, m: int) -> np.ndarray:
@@ -76,13 +86,16 @@ def superminhash(elements: np.ndarray, owner: np.ndarray, docs: int, m: int) ->
 
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    memo = WordHashes()
     for batch in batches:
         for part, texts in blocks(batch):
-            sets = [shingle_hashes(t, size, memo) for t in texts]
+            sets = shingle_sets(texts, size)
             n = np.array([len(s) for s in sets], np.int64)
-            h1 = np.array([mix(s, 11).sum(dtype=np.uint64) for s in sets], np.uint64)
-            h2 = np.array([mix(s, 12).sum(dtype=np.uint64) for s in sets], np.uint64)
+            flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+            owner, ends = np.repeat(np.arange(len(sets)), n), np.cumsum(n)
+            sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(flat, seed)))) for seed in (11, 12)]
+            h1, h2 = (t[ends] - t[ends - n] for t in sums)
+            counts = np.bincount(owner * CELLS + (flat >> np.uint64(58)).astype(np.int64), minlength=len(sets) * CELLS)
+            cells = np.minimum(255, counts).astype(np.uint8).reshape(len(sets), CELLS)
             keys, full = np.zeros((len(sets), bands), np.uint64), np.flatnonzero(n)
             for some in _parts(full, n):
                 sig = superminhash(np.concatenate([sets[i] for i in some]), np.repeat(np.arange(len(some)), n[some]), len(some), bands * rows).reshape(len(some), bands, rows)
@@ -90,11 +103,10 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int)
                 for i in range(rows):
                     key = mix(key * np.uint64(0x100000001B3) ^ sig[:, :, i], 13)
                 keys[some] = key
-            flat = pa.array(keys.reshape(-1).view(np.int64))
-            cells = [np.minimum(255, np.bincount((x >> np.uint64(58)).astype(np.int64), minlength=CELLS)).astype(np.uint8).tobytes() for x in sets]
+            bits = pa.array(keys.reshape(-1).view(np.int64))
             cols = [part.column("doc_id"), part.column("did"), part.column("th"), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([*cols, lists, pa.array(cells, pa.binary())], names=["doc_id", "did", "th", "n_shingles", "h1", "h2", "bands", "cells"])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), bits)
+            yield pa.RecordBatch.from_arrays([*cols, lists, pa.array([c.tobytes() for c in cells], pa.binary())], names=["doc_id", "did", "th", "n_shingles", "h1", "h2", "bands", "cells"])
 
 
 def _parts(full: np.ndarray, n: np.ndarray, most: int = 60_000) -> Iterator[np.ndarray]:

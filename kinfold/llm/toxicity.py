@@ -18,8 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MEMO_WORDS, Shared, WordHashes, blocks, durable, fold_of, labelled_sample, mix, others, picked, scratch, tune
-from .minhash import shingle_hashes
+from .common import MEMO_WORDS, Shared, blocks, durable, fold_of, labelled_sample, mix, others, picked, scratch, tune
+from .minhash import shingle_sets
 
 #: Labelled documents, and bytes of their texts, learnt from at most, prior mass (in documents, a sixteenth of all at most), least documents of a unit, loss of a plain word.
 FIT_ROWS, FIT_BYTES, PRIOR, LEAST_DOCS, LOSS = 12_000, 200_000_000, 500.0, 4, 0.15
@@ -72,12 +72,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Least values of SKETCH hash functions over a text's shingles of five words."""
-    memo = WordHashes()
     for batch in batches:
         for part, texts in blocks(batch):
             out = []
-            for t in texts:
-                s = shingle_hashes(t, 5, memo)
+            for s in shingle_sets(texts, 5):
                 out.append([int(mix(s, 200 + i).min() >> np.uint64(1)) for i in range(SKETCH)] if len(s) else [])
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "sketch"])
 

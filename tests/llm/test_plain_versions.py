@@ -175,3 +175,14 @@ def test_a_shared_folder_is_asked_for_on_a_cluster():
 
     with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
         common.folder_of(Session())
+
+
+def test_word_hashes_tell_words_apart():
+    r = random.Random(3)
+    texts = ["".join(r.choice("ab \n\t\v\f\rcé") for _ in range(r.randint(0, 60))).encode() for _ in range(300)] + [b"", b" ", b"x" * 3_000_000 + b" y", b"a" * 1_048_570 + b" bc de"]
+    h, n = common.word_hashes(texts)
+    words = [w for t in texts for w in t.split()]
+    assert n.tolist() == [len(t.split()) for t in texts] and len(h) == len(words)
+    held = {}
+    assert all(held.setdefault(w, x) == x for w, x in zip(words, h.tolist(), strict=True)) and len(set(held.values())) == len(held)
+    assert len(common.word_hashes([])[0]) == 0
