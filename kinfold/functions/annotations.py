@@ -56,6 +56,13 @@ def genome_of(fid: Column) -> Column:
     return F.nullif(F.regexp_extract(fid, r"fig\|(\d+\.\d+)", 1), F.lit(""))
 
 
+def natural_key(fid: Column) -> Column:
+    """Sort key of feature ids `fig|taxon.version.type.n`: numbers by value; other ids come first, by text."""
+    form = r"^fig\|(\d+)\.(\d+)\.([^.]+)\.(\d+)$"
+    part = lambda i: F.nullif(F.regexp_extract(fid, form, i), F.lit(""))
+    return F.struct(part(1).cast("long").alias("taxon"), part(2).cast("long").alias("version"), part(3).alias("type"), part(4).cast("long").alias("n"), fid.alias("fid"))
+
+
 def nr_id(text: Column) -> Column:
     """A database id cut at Ctrl-A; of a gi id only its first two fields stay."""
     cut = F.regexp_extract(text, "^([^\\x01]*)", 1)

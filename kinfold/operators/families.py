@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kinfold.functions.annotations import family_id
 
 from .graph import components, cut_lineage
+from .numbering import numbered
 
 
 def consensus(members: DataFrame, *by: str) -> DataFrame:
@@ -18,7 +19,7 @@ def consensus(members: DataFrame, *by: str) -> DataFrame:
 
 def number(sets: DataFrame) -> DataFrame:
     """Sets (function, source, idx, size) with a family number from 1, by size down, then function, source and idx."""
-    return sets.withColumn("fam", F.row_number().over(Window.orderBy(F.col("size").desc(), "function", "source", "idx")))
+    return numbered(sets, "fam", F.col("size").desc(), F.col("function"), F.col("source"), F.col("idx"))
 
 
 def describe(members: DataFrame) -> DataFrame:
@@ -61,6 +62,12 @@ def split_definitions(members: DataFrame) -> DataFrame:
     return members.groupBy("fam").agg(F.count("*").alias("n_members"), F.countDistinct("genus").alias("n_genera"), F.array_join(F.sort_array(F.collect_set("genus")), ",").alias("genera"), (F.count("*") == 1).alias("single"))
 
 
+def summary(members: DataFrame, *by: str) -> DataFrame:
+    """Distinct genera, genomes, local families and members of each cluster."""
+    n = lambda c: F.countDistinct(c)
+    return members.groupBy(*by).agg(n("genus").alias("n_genera"), n("genome").alias("n_genomes"), n("lfam").alias("n_lfams"), n("id").alias("n_members"))
+
+
 def max_ids(members: DataFrame) -> DataFrame:
     """(scope, max_id): the largest local number of each genus, and the largest of the global ones as GLOBAL."""
     return members.groupBy(F.col("genus").alias("scope")).agg(F.max("lfam").alias("max_id")).unionByName(members.agg(F.max("gfam").alias("max_id")).select(F.lit("GLOBAL").alias("scope"), "max_id"))
@@ -80,5 +87,6 @@ def merge_global(clusters: DataFrame, locals_: DataFrame, prefix: str = "PGF_")
     comp = components(edges)
     placed = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     stats = placed.groupBy("component", "function").agg(F.count("*").alias("n_lfams"), F.countDistinct("genus").alias("n_genera"))
-    named = stats.withColumn("gfam", family_id(F.row_number().over(Window.orderBy((F.col("n_lfams") == 1), "function", "component")) - 1, prefix))
+    order = (F.col("n_lfams") == 1, F.col("function"), F.col("component"))
+    named = numbered(stats, "gfam", *order, first=0).withColumn("gfam", family_id(F.col("gfam"), prefix))
     return placed.join(named.drop("function"), "component").select("gfam", "function", "genus", "lfam", "n_lfams", "n_genera")

@@ -51,6 +51,23 @@ def contained(features: DataFrame, regions: DataFrame, width: int) -> DataFrame:
     return f.join(r, ["key", "slice"]).where((F.col("start") >= F.col("lo")) & (F.col("end") <= F.col("hi"))).select("key", "feature", "region")
 
 
+def overlapping(features: DataFrame, regions: DataFrame, width: int) -> DataFrame:
+    """(key, feature, region): features that share at least one place with a region of the same key (ends included).
+
+    Both sides stand in every slice they touch; a pair counts in the first slice that both have, so it comes once.
+    """
+    slices = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width)))
+    f = features.withColumn("slice", slices("start", "end"))
+    r = regions.withColumn("slice", slices("lo", "hi"))
+    both = f.join(r, ["key", "slice"]).where((F.col("start") <= F.col("hi")) & (F.col("end") >= F.col("lo")))
+    return both.where(F.col("slice") == F.floor(F.greatest("start", "lo") / width)).drop("slice", "start", "end", "lo", "hi")
+
+
+def split_by_reference(genomes: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(references, others) of genomes (id, ...) by a list of ids."""
+    return genomes.join(refs.select("id"), "id", "left_semi"), genomes.join(refs.select("id"), "id", "left_anti")
+
+
 def names(ids: DataFrame, *sources: DataFrame) -> DataFrame:
     """(id, name): the name in the first source (id, name) that has one, nulls and empty names aside."""
     out, found = ids.select("id"), []

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 
 def last_wins(rows: DataFrame, key: str, *order: str) -> DataFrame:
     """The last row of each key by the order given: an aggregate, so rows add up before the shuffle."""
@@ -28,9 +30,11 @@ def id_ranges(rows: DataFrame, by: str, number: str) -> DataFrame:
 
 def neighbours(rows: DataFrame, key: str, order: list) -> DataFrame:
     """Rows with the keys before and after them; at the ends they wrap around to the other end."""
-    w = Window.orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return rows.withColumn("prev", F.coalesce(F.lag(key).over(w), F.last(key).over(whole))).withColumn("next", F.coalesce(F.lead(key).over(w), F.first(key).over(whole)))
+    at = numbered(rows, "_i", *order)
+    n = at.agg(F.count("*")).scalar()
+    prev = at.select((F.col("_i") % n + 1).alias("_i"), F.col(key).alias("prev"))
+    after = at.select(((F.col("_i") + n - 2) % n + 1).alias("_i"), F.col(key).alias("next"))
+    return at.join(prev, "_i").join(after, "_i").drop("_i")
 
 
 def paginate(rows: DataFrame, most: int) -> DataFrame:

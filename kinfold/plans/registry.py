@@ -35,4 +35,4 @@ def query(sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], C
     return add
 
 
-from . import clustering, learning, relational  # noqa: E402, F401  (they register themselves)
+from . import calls, clustering, learning, relational, selections  # noqa: E402, F401  (they register themselves)

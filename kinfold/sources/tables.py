@@ -61,6 +61,37 @@ def write_synonyms(groups: DataFrame, path: str) -> None:
     groups.select(F.concat(F.lit("gnl|md5|"), "md5", F.lit(","), F.col("members")[0]["len"].cast("string"), F.lit("\t"), each)).write.text(path)
 
 
+def list_files(spark: SparkSession, *folders: str) -> DataFrame:
+    """(path, length) of the regular files that lie in the folders themselves."""
+    return spark.read.format("binaryFile").load(list(folders)).select("path", "length")
+
+
+def read_families(spark: SparkSession, path: str) -> DataFrame:
+    """(fam, id, function, lfam, genus) of a release's global families."""
+    return read_tsv(spark, path, "global_families").select(F.col("gfam").alias("fam"), "id", "function", "lfam", "genus")
+
+
+def read_pegmap(spark: SparkSession, path: str) -> DataFrame:
+    """Rows by representative; of several lines of one the last wins (by file name and place in the file)."""
+    rows = read_tsv(spark, path, "pegmap").withColumn("_at", F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("n")))
+    rest = [c for c in rows.columns if c not in ("rep", "_at")]
+    return rows.groupBy("rep").agg(F.max_by(F.struct(*rest), "_at").alias("_x")).select("rep", "_x.*")
+
+
+def genus_tables(seqs: DataFrame) -> dict[str, DataFrame]:
+    """What a genus folder holds, from sequences (genome, id, def, seq): sequences, lengths, genomes, names and checksum groups."""
+    from kinfold.functions.annotations import definition
+    from kinfold.operators.nr import groups, keep_good
+
+    return {
+        "seqs": seqs.select("genome", "id", "seq"),
+        "seq_len": seqs.select("id", F.length("seq").alias("len")),
+        "genomes": seqs.select("genome").distinct(),
+        "names": seqs.select("id", definition(F.col("def"))["function"].alias("function")).where("function is not null"),
+        "nr": groups(keep_good(seqs.select("id", "seq"))),
+    }
+
+
 def read_ragged(spark: SparkSession, path: str) -> DataFrame:
     """(cluster, pos, member) of lines whose members are parted by tabs."""
     rows = spark.read.text(path).where("value <> ''").select(F.xxhash64(F.input_file_name(), F.monotonically_increasing_id()).alias("cluster"), F.split("value", "\t").alias("m"))
