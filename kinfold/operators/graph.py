@@ -17,7 +17,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     import uuid
 
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", "") or _dirs.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="kinfold-"))
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = _dirs.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="kinfold-"))
     path = f"{folder}/kinfold-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
