@@ -44,9 +44,8 @@ def call_kmers(df: DataFrame, seq: str, k: int = K) -> DataFrame:
 
     Windows with `*` or `X` are skipped, and so is the one that ends just before such a letter.
     """
-    rows = explode_kmers(df.withColumn("_seq", F.col(seq)), seq, k)
-    after = F.substring(F.col("_seq"), F.col("pos") + k + 1, F.lit(1))
-    return rows.where(~F.col("kmer").rlike("[*X]") & ~after.isin("*", "X")).drop("_seq")
+    longer = explode_kmers(df.withColumn("_seq", F.concat(seq, F.lit(" "))), "_seq", k + 1)  # each window with the letter behind it, or a blank at the end
+    return longer.where(~F.col("kmer").rlike("[*X]")).withColumn("kmer", F.substring("kmer", 1, k)).drop("_seq")
 
 
 def callable_windows(seq: Column, k: int = K, strict_reference: bool = True) -> Column:
