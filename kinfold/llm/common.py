@@ -13,6 +13,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,12 +62,19 @@ def durable(df: DataFrame) -> DataFrame:
     path = f"{folder_of(spark)}/kinfold-{uuid.uuid4().hex}"
     if _blocks:
         _blocks[-1].paths.append(path)
+    at, system = _located(spark, path)
+    system.deleteOnExit(at)  # what nobody deletes before goes with the driver
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._kinfold_path = path
     return out
 
 
+def _located(spark: SparkSession, path: str) -> tuple[object, object]:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 class Scratch:
     """The tables that durable() wrote inside a block."""
 
@@ -91,11 +99,10 @@ def scratch(spark: SparkSession) -> Iterator[Scratch]:
         _blocks.remove(own)
         if _blocks:
             _blocks[-1].paths += sorted(own.kept)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         for path in own.paths:
             if path not in own.kept:
-                at = hadoop(path)
-                at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+                at, system = _located(spark, path)
+                system.delete(at, True)
 
 
 class Shared:
@@ -259,3 +266,26 @@ def others(docs: DataFrame, *added: str) -> list[StructField]:
 
 def picked(docs: DataFrame, fields: list[StructField]) -> DataFrame:
     return docs.select(*(F.col(f"`{f.name}`") for f in fields))
+
+
+def stretches(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Rows that come sorted by keys (none null) as one table for each run of equal ones."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows, bool)
+        for k in keys:
+            column = batch.column(k)
+            new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            new[0] |= bool(held) and held[-1].column(k)[-1] != column[0]
+        at = 0
+        for edge in [*np.flatnonzero(new).tolist(), batch.num_rows]:
+            if edge > at:
+                held.append(batch.slice(at, edge - at))
+            if edge < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held, at = [], edge
+    if held:
+        yield pa.Table.from_batches(held)
+    tidy()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, language, license, minhash, quality, sharding, substring, topk, toxicity
+from . import bpe, decontam, divergence, language, license, lines, minhash, quality, sharding, spelling, substring, topk, toxicity
 from .common import table
 
 
@@ -27,5 +27,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": lambda spark, d: topk.op8_topk(table(spark, d, "embeddings")),
     "op9_license": lambda spark, d: license.op9_license(table(spark, d, "documents")),
     "op10_quality": lambda spark, d: quality.op10_quality(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op11_divergence": lambda spark, d: divergence.op11_divergence(table(spark, d, "documents")),
+    "op12_spelling": lambda spark, d: spelling.op12_spelling(table(spark, d, "documents")),
+    "op13_lines": lambda spark, d: lines.op13_lines(table(spark, d, "documents")),
 }
-ORACLES: dict[str, str] = {"op4_decontaminate": decontam.OP4_SQL, "op8_topk": topk.OP8_SQL, "op9_license": license.OP9_SQL}
+ORACLES: dict[str, str] = {"op4_decontaminate": decontam.OP4_SQL, "op8_topk": topk.OP8_SQL, "op9_license": license.OP9_SQL, "op11_divergence": divergence.OP11_SQL, "op13_lines": lines.OP13_SQL}
