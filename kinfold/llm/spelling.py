@@ -90,26 +90,37 @@ def class_links(words: DataFrame) -> DataFrame:
     return met.select(F.explode(pairs).alias("p")).select("p.*")
 
 
-def _around(word: Column, out: Column, other: Column) -> Column:
-    """The texts that `word` can leave around letter `out`, with a gap in its place if another letter stands there in the other word.
+def _without(word: Column, at: Column, gap: str = "") -> Column:
+    """word with `gap` in place of its letter at `at` (from 1; 0: the word as it is)."""
+    return F.when(at == 0, word).otherwise(F.concat(F.substring(word, F.lit(1), at - 1), F.lit(gap), F.substring(word, at + 1, F.length(word))))
 
-    Without a gap, only the first of equal letters in a row is taken out: the rest is the same for all of them.
+
+def _places(word: Column, out: Column, other: Column) -> Column:
+    """Where `word` may lose letter `out` (0: nowhere, if it is to lose none).
+
+    Where the other word has no letter there, the first of equal letters in a row stands for all: the rest is the same.
     """
-    places = F.sequence(F.lit(1), F.length(word))
-    here = F.filter(places, lambda i: (F.substring(word, i, F.lit(1)) == out) & ((other != "") | (i == 1) | (F.substring(word, i - 1, F.lit(1)) != out)))
-    left = F.transform(here, lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.when(other == "", "").otherwise(" "), F.substring(word, i + 1, F.length(word))))
-    return F.when(out == "", F.array(word)).otherwise(left)
+    first = lambda i: (other != "") | (i == 1) | (F.substring(word, i - 1, F.lit(1)) != out)
+    here = F.filter(F.sequence(F.lit(1), F.length(word)), lambda i: (F.substring(word, i, F.lit(1)) == out) & first(i))
+    return F.when(out == "", F.array(F.lit(0))).otherwise(here)
 
 
 def near_words(words: DataFrame, links: DataFrame) -> DataFrame:
-    """(word, n, other, other_n): both directions of every pair that differs by exactly one letter added, removed or exchanged."""
+    """(word, n, other, other_n): both directions of every pair that differs by exactly one letter added, removed or exchanged.
+
+    Words of linked classes meet by a hash of what stands around the letter, so classes of many words aren't paired out; the
+    letters are then compared in their order.
+    """
     sides = []
     for own, out, other in (("key1", "out1", "out2"), ("key2", "out2", "out1")):
         at = links.join(words.withColumnRenamed("key", own), own)
-        sides.append(at.select("key1", "key2", "word", "n", F.explode(_around(F.col("word"), F.col(out), F.col(other))).alias("around")))
-    one = sides[0]
-    two = sides[1].withColumnsRenamed({"word": "other", "n": "other_n"})
-    pairs = one.join(two, ["key1", "key2", "around"])
+        at = at.select("*", F.explode(_places(F.col("word"), F.col(out), F.col(other))).alias("at"))
+        gapped = F.when((F.col(out) != "") & (F.col(other) != ""), _without(F.col("word"), F.col("at"), " ")).otherwise(_without(F.col("word"), F.col("at")))
+        sides.append(at.select(F.xxhash64("key1", "key2", gapped).alias("h"), "word", "n", "at"))
+    one, two = sides[0], sides[1].withColumnsRenamed({"word": "other", "n": "other_n", "at": "other_at"})
+    same_place = F.when((F.col("at") > 0) & (F.col("other_at") > 0), F.col("at") == F.col("other_at")).otherwise(True)
+    in_order = _without(F.col("word"), F.col("at")) == _without(F.col("other"), F.col("other_at"))
+    pairs = one.join(two, "h").where(same_place & in_order & (F.col("word") != F.col("other")))
     both = F.array(F.struct("word", "n", "other", "other_n"), F.struct(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n")))
     return pairs.select(F.explode(both).alias("p")).select("p.*")
 
