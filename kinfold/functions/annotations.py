@@ -30,9 +30,15 @@ def strip_function(text: Column) -> Column:
     return F.regexp_replace(text, _HASH + r"|^FIG\d{6}[^:]*:\s*", "")
 
 
+def split_roles(function: Column) -> Column:
+    """The parts of a function without comment, at ` / `, ` @ ` or `; `; nothing after the last mark is no part, and the empty text has none."""
+    parts = F.split(function, r"\s+[/@]\s+|\s*;\s+")
+    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+
+
 def roles(text: Column) -> Column:
-    """The roles of a multi-role function, parted by ` / `, ` @ ` or `; `; a comment is none."""
-    return F.split(strip_comment(text), r"\s+[/@]\s+|\s*;\s+")
+    """The roles of a multi-role function; a comment, from its first # on, is none."""
+    return split_roles(strip_comment(text))
 
 
 def is_hypothetical(function: Column) -> Column:

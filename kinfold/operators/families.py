@@ -42,10 +42,12 @@ def within(members: DataFrame, sds: float = 2.0) -> DataFrame:
 
 def singletons(refs: DataFrame, clustered: DataFrame, called: DataFrame, last: DataFrame) -> DataFrame:
     """References in no cluster, as families of one: (function, sub, id). Without a call the function is hypothetical; numbers go on
-    from `last` (function, sub) in order of id."""
+    from `last` (function, sub) in order of id. Rows are numbered over all functions by ranges, and each function's start at its
+    least number, so that a function which most of them share is no task of its own."""
     left = refs.select("id").distinct().join(clustered.select("id"), "id", "left_anti").join(called, "id", "left").select("id", F.coalesce("function", F.lit("hypothetical protein")).alias("function"))
-    nth = F.row_number().over(Window.partitionBy("function").orderBy("id"))
-    return left.join(last.groupBy("function").agg(F.max("sub").alias("top")), "function", "left").select("function", (F.coalesce("top", F.lit(0)) + nth).cast("long").alias("sub"), "id")
+    at = cut_lineage(numbered(left, "_nth", F.col("function"), F.col("id")))
+    start = at.groupBy("function").agg(F.min("_nth").alias("_start")).join(last.groupBy("function").agg(F.max("sub").alias("top")), "function", "left")
+    return at.join(start, "function").select("function", (F.coalesce("top", F.lit(0)) + F.col("_nth") - F.col("_start") + 1).cast("long").alias("sub"), "id")
 
 
 def united(**sources: DataFrame) -> DataFrame:

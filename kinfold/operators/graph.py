@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _dirs: dict[str, str] = {}
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df as a table in the folder of spark.checkpoint.dir (a temporary one in local runs that name none)."""
-    import uuid
-
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the folder of spark.checkpoint.dir (a temporary one in local runs that name none), deleted with the driver at the latest."""
     folder = spark.conf.get("spark.checkpoint.dir", "")
     if not folder:
         master = spark.sparkContext.master
@@ -24,8 +22,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = _dirs.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="kinfold-"))
     path = f"{folder}/kinfold-{uuid.uuid4().hex}"
+    at, system = _located(spark, path)
+    system.deleteOnExit(at)
+    return path
+
+
+def _located(spark: SparkSession, path: str) -> tuple[object, object]:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df as a table at a scratch path."""
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes tables of cut_lineage() that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_scratch_path", None)
+        if path:
+            at, system = _located(df.sparkSession, path)
+            system.delete(at, True)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -1 +1,3 @@
-"""Part of the kinfold engine."""
+"""The queries of the engine; importing the package registers them all."""
+
+from . import calls, clustering, learning, relational, selections, sources  # noqa: F401

@@ -9,6 +9,7 @@ from kinfold.functions import annotations as A
 from kinfold.functions import sequences as S
 from kinfold.operators import calling, nr, reports
 from kinfold.operators import signatures as G
+from kinfold.operators.graph import cut_lineage
 
 from .registry import Tables, query
 
@@ -38,8 +39,9 @@ def proteins(t: Tables) -> DataFrame:
 
 
 def learnt(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Occurrences of k-mers and the signatures among them: these are written once, whatever reads them how often."""
     rows = G.occurrences(proteins(t))
-    return rows, G.signatures(rows)
+    return rows, cut_lineage(G.signatures(rows))
 
 
 @query(f"WITH {_ROWS} SELECT id, pos::INTEGER AS pos, kmer FROM o")
@@ -88,7 +90,7 @@ def signature_length_stats(t: Tables) -> DataFrame:
 def signatures_per_function(t: Tables) -> DataFrame:
     _, sigs = learnt(t)
     index = G.function_index(proteins(t).where("function is not null and function <> ''"))
-    return sigs.groupBy("function").agg(F.count("*").alias("n_signatures")).join(F.broadcast(index), "function").select("idx", "function", "n_signatures")
+    return sigs.groupBy("function").agg(F.count("*").alias("n_signatures")).join(index, "function").select("idx", "function", "n_signatures")
 
 
 @query(f"WITH {_WEIGHTS} SELECT id, o.function AS own, weights.function, count(*) AS hits, round(sum(round(weight, 6)), 3) AS weight FROM o JOIN weights USING (kmer) GROUP BY ALL")
@@ -137,6 +139,15 @@ def _annotated(t: Tables) -> DataFrame:
 @query(f"""WITH x AS (SELECT p_partkey, regexp_extract({_TEXT}, '^(.*?)(?:\\s+(#+)\\s+(.*))?$', 1) AS f FROM part)
 SELECT p_partkey, (i - 1)::INTEGER AS pos, regexp_split_to_array(f, '\\s+[/@]\\s+|\\s*;\\s+')[i] AS role FROM (SELECT p_partkey, f, unnest(range(1, len(regexp_split_to_array(f, '\\s+[/@]\\s+|\\s*;\\s+')) + 1)) AS i FROM x)""")
 def role_split(t: Tables) -> DataFrame:
+    """Parts of the function as it stands before a comment that is set off by blanks."""
+    return _annotated(t).select("p_partkey", F.posexplode(A.split_roles(A.split_comment(F.col("text"))["func"])).alias("pos", "role"))
+
+
+@query(f"""WITH x AS (SELECT p_partkey, regexp_split_to_array(regexp_replace({_TEXT}, '\\s*#.*$', ''), '\\s+[/@]\\s+|\\s*;\\s+') AS p FROM part),
+y AS (SELECT p_partkey, CASE WHEN p[-1] = '' THEN p[:-2] ELSE p END AS p FROM x)
+SELECT p_partkey, (i - 1)::INTEGER AS pos, p[i] AS role FROM (SELECT p_partkey, p, unnest(range(1, len(p) + 1)) AS i FROM y)""")
+def function_roles(t: Tables) -> DataFrame:
+    """Roles of the function, which ends at the first # whether or not blanks set it off."""
     return _annotated(t).select("p_partkey", F.posexplode(A.roles(F.col("text"))).alias("pos", "role"))
 
 

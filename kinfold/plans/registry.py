@@ -34,5 +34,3 @@ def query(sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], C
 
     return add
 
-
-from . import calls, clustering, learning, relational, selections  # noqa: E402, F401  (they register themselves)
