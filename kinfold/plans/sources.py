@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.operators.graph import scratch_path
-from kinfold.sources import fasta
+from kinfold.operators.numbering import numbered
+from kinfold.sources import fasta, reports
+from kinfold.sources.versions import VersionedTable
 
 from .registry import Tables, query
 
@@ -23,3 +25,33 @@ def fasta_records(t: Tables) -> DataFrame:
     fasta.register(spark)
     rows = spark.read.format("fasta_records").option("path", path).option("rangeBytes", 16_000_000).load()
     return rows.select("id", "def", F.md5(F.col("seq").cast("binary")).alias("digest"), F.length("seq").alias("len"), "n_errors", "embedded")
+
+
+@query("""WITH base AS (SELECT coalesce(lang, '') AS genus, doc_id AS id, source AS name FROM documents),
+one AS (SELECT * FROM base WHERE genus <> 'fr'), changed AS (SELECT genus, id, 'renamed ' || name AS name FROM base WHERE id % 3 = 0 AND genus <> 'fr')
+SELECT genus, id, coalesce(c.name, one.name) AS name FROM one LEFT JOIN changed c USING (genus, id) WHERE genus <> 'es'""")
+def versioned_members(t: Tables) -> DataFrame:
+    """Documents by language in a versioned table: one language cleared as another commit writes, changes merged, a second language cleared."""
+    spark = t.documents.sparkSession
+    table = VersionedTable(spark, scratch_path(spark), "genus", "genus string, id long, name string")
+    rows = t.documents.select(F.coalesce("lang", F.lit("")).alias("genus"), F.col("doc_id").alias("id"), F.col("source").alias("name"))
+    table.replace(rows)
+    table.replace(rows.where("genus = 'de'"), clear=["fr"])
+    table.merge(rows.where("id % 3 = 0 and genus <> 'fr'").withColumn("name", F.concat(F.lit("renamed "), "name")), "id")
+    table.clear("es")
+    return table.read()
+
+
+@query("""WITH n AS (SELECT row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS nth, c_custkey, c_name FROM customer), p AS (SELECT (nth - 1) // 25 + 1 AS page, nth, c_name FROM n)
+SELECT page::INTEGER AS page, (SELECT max(page) FROM p)::INTEGER AS num_pages, count(*) AS n, arg_min(c_name, nth) AS first, arg_max(c_name, nth) AS last FROM p GROUP BY page""")
+def report_pages(t: Tables) -> DataFrame:
+    """Customers by balance as a report of 25 a page, written as files of JSON and read back from them."""
+    spark = t.customer.sparkSession
+    path = scratch_path(spark)
+    reports.register(spark)
+    rows = numbered(t.customer.select("c_custkey", "c_name", "c_acctbal"), "nth", F.col("c_acctbal").desc(), F.col("c_custkey")).select("nth", "c_custkey", "c_name")
+    reports.paged(rows, "nth", "c_name", 25).write.format("report_pages").option("path", path).option("base", "customers").mode("overwrite").save()
+    page = "page int, num_pages int, rows array<struct<nth: long, c_custkey: long, c_name: string>>"
+    read = spark.read.schema(page).json(path, multiLine=True, pathGlobFilter="customers-[0-9]*.json")
+    at = lambda i: F.element_at("rows", i)["c_name"]
+    return read.select("page", "num_pages", F.size("rows").cast("long").alias("n"), at(1).alias("first"), at(-1).alias("last"))
