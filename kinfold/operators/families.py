@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold.functions.annotations import family_id
+from kinfold.functions.annotations import family_id, is_hypothetical
 
 from .graph import components, cut_lineage
 from .numbering import numbered
@@ -92,3 +92,16 @@ def merge_global(clusters: DataFrame, locals_: DataFrame, prefix: str = "PGF_")
     order = (F.col("n_lfams") == 1, F.col("function"), F.col("component"))
     named = numbered(stats, "gfam", *order, first=0).withColumn("gfam", family_id(F.col("gfam"), prefix))
     return placed.join(named.drop("function"), "component").select("gfam", "function", "genus", "lfam", "n_lfams", "n_genera")
+
+
+def relabelled(defs: DataFrame, members: DataFrame, deleted: DataFrame, least: int = 20, most_z: float = 1.0, prefix: str = "hyp-") -> DataFrame:
+    """(id, fam, name): new names for the hypothetical families of `least` members or more.
+
+    defs (fam, function, size), members (fam, id, z), deleted (id). Members within `most_z` of the mean that aren't deleted take
+    the name, if more than `least` of them are left; names are numbered from 0 in order of fam.
+    """
+    of = defs.where(is_hypothetical(F.col("function")) & (F.col("size") >= least)).select("fam")
+    kept = members.where(F.abs("z") <= most_z).join(of, "fam").join(deleted.select("id"), "id", "left_anti").select("fam", "id")
+    enough = kept.groupBy("fam").agg(F.count("*").alias("n")).where(F.col("n") > least).select("fam")
+    names = numbered(enough, "_i", F.col("fam"), first=0).select("fam", family_id(F.col("_i"), prefix, 6).alias("name"))
+    return kept.join(names, "fam").select("id", "fam", "name")

@@ -32,6 +32,26 @@ def kmer_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("kmer", "function").agg(F.count("*").alias("n"))
 
 
+def indexed(seqs: DataFrame, assignments: DataFrame, index: DataFrame) -> DataFrame:
+    """(id, idx, function, seq) of the sequences (id, seq) that have an assigned function (id, function) of the index (idx, function).
+
+    Sequences without an assignment, with an empty one or with a function that isn't in the index are left out. The index is
+    joined without a hint, so that Spark broadcasts it only where its size allows.
+    """
+    own = assignments.where(F.col("function").isNotNull() & (F.col("function") != "")).select("id", "function")
+    return seqs.select("id", "seq").join(own, "id").join(index.select("idx", "function"), "function").select("id", "idx", "function", "seq")
+
+
+def two_best(rows: DataFrame) -> DataFrame:
+    """(kmer, n_total, function, n_function, second, n_second): the two functions with most occurrences of each k-mer (ties: the
+    least by name); the second is null for k-mers of one function."""
+    counts = kmer_counts(rows)
+    of = Window.partitionBy("kmer")
+    placed = counts.withColumn("_r", F.row_number().over(of.orderBy(F.col("n").desc(), "function"))).withColumn("n_total", F.sum("n").over(of)).where("_r <= 2")
+    at = lambda i, c: F.max(F.when(F.col("_r") == i, F.col(c)))
+    return placed.groupBy("kmer").agg(F.max("n_total").alias("n_total"), at(1, "function").alias("function"), at(1, "n").alias("n_function"), at(2, "function").alias("second"), at(2, "n").alias("n_second"))
+
+
 def signatures(rows: DataFrame, share: float = 0.8) -> DataFrame:
     """(kmer, function, n_function, n_total) of the k-mers of which one function has at least `share` of the occurrences.
 

@@ -1,3 +1,3 @@
 """The queries of the engine; importing the package registers them all."""
 
-from . import calls, clustering, learning, relational, scans, selections, sources  # noqa: F401
+from . import calls, clustering, learning, relational, rules, scans, selections, sources  # noqa: F401

@@ -167,4 +167,4 @@ def relabel_hypos(t: Tables) -> DataFrame:
     gone = t.labels.where("toxic = 1").select(F.col("doc_id").alias("id"))
     kept = m.where("size >= 20 and z <= 1").join(gone, "id", "left_anti").withColumn("left_over", F.count("*").over(w)).where("left_over > 20")
     names = kept.select("fam").distinct().withColumn("name", F.concat(F.lit("hyp-"), F.lpad((F.row_number().over(Window.orderBy("fam")) - 1).cast("string"), 6, "0")))
-    return kept.join(F.broadcast(names), "fam").select("id", "name")
+    return kept.join(names, "fam").select("id", "name")
