@@ -30,6 +30,14 @@ def test_stream_regions(spark, tmp_path):
     assert [(r["id"], r["n"], r["weight"]) for r in spark.table("regions_out").collect()] == [("a", 2, 3.0)]
 
 
+def drained(q, rows):
+    """Waits until a query has taken so many rows, then stops it (with timers, batches without data never end)."""
+    until = time.time() + 90
+    while time.time() < until and sum(p["numInputRows"] for p in q.recentProgress) < rows:
+        time.sleep(0.3)
+    q.stop()
+
+
 def hits_of(r, n):
     pos, rows = 0, []
     for _ in range(n):
@@ -57,8 +65,8 @@ def test_regions_are_those_of_the_batch_fold_for_any_cut(spark, tmp_path, cuts):
         time.sleep(1.1)  # files are taken in order of their times
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "h"))
     name = f"folded_{cuts}"
-    q = stream_folded(src, o).writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
+    q = stream_folded(src, o).writeStream.format("memory").queryName(name).outputMode("append").start()
+    drained(q, sum(map(len, seqs.values())) + len(seqs))
     got = sorted((x["id"], x["start"], x["stop"], x["n"], x["function"], x["weight"], x["med_len"], x["mad"]) for x in spark.table(name).collect())
     want = sorted((s, g["start"], g["stop"], g["n"], g["function"], g["weight"], g["med_len"], g["mad"]) for s, h in seqs.items() for g in fold(h, o))
     assert got == want and len(want) > 5
@@ -81,7 +89,8 @@ def test_streamed_hits_are_those_of_calling(spark, tmp_path):
     sigs = spark.createDataFrame([("ACDEFGHI", "f", 1.0, 9, 3, "o")], "kmer string, function string, weight double, mean int, avg_from_end int, otu string")
     seqs.write.parquet(str(tmp_path / "s"))
     src = spark.readStream.schema("id string, seq string").parquet(str(tmp_path / "s"))
-    q = stream_hits(src, sigs).writeStream.format("memory").queryName("called_hits").outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
+    q = stream_hits(src, sigs).writeStream.format("memory").queryName("called_hits").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
     pick = lambda df: sorted((x["id"], x["pos"], x["function"]) for x in df.collect())
     assert pick(spark.table("called_hits")) == pick(call_hits(seqs, sigs)) == [("p", 9, "f"), ("q", 0, "f")]
