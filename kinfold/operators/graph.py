@@ -62,21 +62,28 @@ def components(edges: DataFrame) -> DataFrame:
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("p")))
+        held = up
         while True:
             to = up.select(F.col("node").alias("p"), F.col("p").alias("q"))
             step = cut_lineage(up.join(to, "p").select("node", "q", (F.col("p") != F.col("q")).alias("moved")))
-            up = step.select("node", F.col("q").alias("p"))
+            discard(held)
+            up, held = step.select("node", F.col("q").alias("p")), step
             if step.where("moved").isEmpty():
                 break
         if label is None:
-            label = up
+            label, kept = up, held
         else:
+            before, kept = kept, None
             label = cut_lineage(label.join(up.select(F.col("node").alias("p"), F.col("p").alias("q")), "p", "left").select("node", F.coalesce("q", "p").alias("p")))
+            discard(before)
+            kept = label
         ra, rb = up.select(F.col("node").alias("a"), F.col("p").alias("x")), up.select(F.col("node").alias("b"), F.col("p").alias("y"))
         moved = left.join(ra, "a").join(rb, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        left = cut_lineage(moved.distinct())
+        done, left = left, cut_lineage(moved.distinct())
+        discard(done, held if held is not kept else None)
     if label is None:
         return nodes.select("node", F.col("node").alias("component"))
+    discard(left)
     return label.select("node", F.col("p").alias("component"))
 
 
@@ -119,14 +126,18 @@ def mcl_by_joins(edges: DataFrame, inflation: float, rounds: int = 60, prune: fl
         left = flow.select("part", "row", F.col("col").alias("k"), F.col("w").alias("x"))
         right = flow.select("part", F.col("row").alias("k"), "col", F.col("w").alias("y"))
         sharp = left.join(right, ["part", "k"]).groupBy("part", "row", "col").agg(F.pow(F.sum(F.col("x") * F.col("y")), F.lit(inflation)).alias("w"))
-        even = cut_lineage(share(cut_lineage(sharp)))
+        squared = cut_lineage(sharp)
+        even = cut_lineage(share(squared))
+        discard(squared)
         least = even.groupBy("part", "col").agg(F.least(F.lit(prune), F.max("w") / 2).alias("least"))
         new = cut_lineage(share(even.join(least, ["part", "col"]).where("w >= least").select("part", "row", "col", "w")))
+        discard(even)
         moved = flow.withColumnRenamed("w", "old").join(new, ["part", "row", "col"], "full").groupBy("part").agg(F.max(F.abs(F.coalesce("w", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))).alias("most"))
         still = cut_lineage(moved.where("most >= 1e-6").select("part"))
         rest = new.join(still, "part", "left_anti")
         done = rest if done is None else done.unionByName(rest)
-        flow = cut_lineage(new.join(still, "part", "left_semi"))
+        before, flow = flow, cut_lineage(new.join(still, "part", "left_semi"))
+        discard(before)
         if still.isEmpty():
             break
     last = flow if done is None else done.unionByName(flow)
@@ -181,7 +192,9 @@ def representatives(pairs: DataFrame, nodes: DataFrame, identity: float = 0.5) -
         now = cut_lineage(state.where("waiting = 0").select(F.col("a").alias("id"), F.coalesce("best.b", "a").alias("rep")))
         if now.isEmpty():
             break
-        settled = cut_lineage(settled.unionByName(now))
+        before, settled = settled, cut_lineage(settled.unionByName(now))
+        discard(before, now)
+    discard(up, now)
     return settled.select("rep", F.col("id").alias("member"))
 
 
