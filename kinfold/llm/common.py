@@ -87,6 +87,11 @@ class Scratch:
         self.kept.add(df._kinfold_path)
         return df
 
+    def drop(self, df: DataFrame) -> None:
+        """Deletes a table of durable() from before at the end of this block; other tables stay."""
+        if hasattr(df, "_kinfold_path"):
+            self.paths.append(df._kinfold_path)
+
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Scratch]:
