@@ -63,11 +63,15 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another over `documents`, each result written before it is read again (and deleted once it has been)."""
+    """The stages one after another over `documents`, each result written before it is read again, and deleted once the next is written.
+
+    The last stage's rows are read from the table of the stage before, which goes with the driver."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         with scratch(spark) as made:
-            docs = made.keep(durable(stage(spark, docs, sf_dir)))
+            kept = made.keep(durable(stage(spark, docs, sf_dir)))
+            made.drop(docs)
+            docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
