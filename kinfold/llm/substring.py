@@ -1,11 +1,12 @@
 """Substring dedup: words covered by a run of `window` words that also starts elsewhere are removed.
 
 Every window holds a least gram of GRAM words (its anchor), picked by content alone, so equal windows meet at equal anchors.
-The windows of a document that share an anchor form one segment. Segments whose anchor is nowhere else need no look. Where
-all segments of an anchor are equal, all their windows repeat. The others are dealt by anchor into shards; each shard gets a
-compressed FM-index (a wavelet matrix over the BWT), against which its segments are streamed by backward search.
-Equal segments are one from the start. Anchors of more than HOT segments would swell a shard: the windows of their distinct
-segments are counted by 128-bit hash instead, which adds up before the shuffle.
+The windows of a document that share an anchor form one segment. A segment whose anchor is nowhere else needs no look, and all
+windows of one that is met twice or more repeat. What is left are segments that are alone among unequal ones of their anchor:
+each distinct segment of such an anchor is cut from one of its places and dealt by anchor into shards; each shard gets a
+compressed FM-index (a wavelet matrix over the BWT), against which the segments that are alone are streamed by backward search.
+Anchors of more than HOT distinct segments would swell a shard: their windows are counted by 128-bit hash instead, which adds
+up before the shuffle.
 """
 
 from __future__ import annotations
@@ -17,20 +18,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMO_WORDS, WordHashes, blocks, durable, hashes, mix, release, row_key, scratch, tune
+from .common import WordHashes, blocks, durable, hashes, mix, release, row_key, scratch, tune
 from .fmindex import FMIndex
 
 WINDOW, GRAM = 50, 7
-#: Segments of an unequal anchor above which its windows are counted by hash; words of a shard's index; words of a piece of a text.
+#: Distinct segments of an anchor above which its windows are counted by hash; words of a shard's index; words of a piece of a text.
 HOT, SHARD_WORDS, PIECE = 256, 150_000, 4_000_000
-#: Places of a segment that travel as one row: few enough that rows can be dealt evenly, whatever share of the documents holds it.
-PLACES = 16
 _B = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _INVERSE = tuple(np.uint64(pow(int(b), -1, 2**64)) for b in _B)
 
 
 _RUNS = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))
-_PLACES = pa.list_(pa.struct([("did", pa.int64()), ("th", pa.int64()), ("start", pa.int32())]))
 
 
 class Powers:
@@ -88,7 +86,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _marks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Every segment: anchor, hash, and place (row key, first window, number of windows). The texts of a block are worked on as one."""
+    """Every segment: anchor, two hashes, and place (row key, first window, number of windows). The texts of a block are worked on as one."""
     memo, powers = WordHashes(), Powers()
     for batch in batches:
         for part, texts in blocks(batch):
@@ -102,48 +100,40 @@ def _marks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
             start = at - np.concatenate(([0], ends))[row]
             own = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [_signed(a), _signed(spans(h, at, at + n + window - 1, powers, 1)), part.column("did").take(own), part.column("th").take(own), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
-                names=["a", "s", "did", "th", "start", "n"],
+                [_signed(a), *(_signed(spans(h, at, at + n + window - 1, powers, i)) for i in (1, 0)), part.column("did").take(own), part.column("th").take(own), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
+                names=["a", "s", "s2", "did", "th", "start", "n"],
             )
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The unequal segments of a block of texts, each distinct one once (or once for PLACES of its places there); its words once a task."""
-    told: set[tuple[int, int]] = set()
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), _PLACES, pa.binary())
+    """The segments to cut from each text, with their words and place."""
     for batch in batches:
         for part, texts in blocks(batch):
-            met: dict[tuple[int, int], list] = {}
-            for did, th, segs, text in zip(part.column("did").to_pylist(), part.column("th").to_pylist(), part.column("segs").to_pylist(), texts, strict=True):
-                words = None
-                for x in segs:
-                    key, at = (x["a"], x["s"]), x["start"]
-                    row = met.get(key)
-                    if row is None:
-                        row = met[key] = [*key, x["kind"] == 2, 0, [], None]
-                        if key not in told:
-                            words = (text or b"").split() if words is None else words
-                            row[5] = b" ".join(words[at : at + x["n"] + window - 1])
-                            told.add(key)
-                    row[3] += 1  # the length of what follows
-                    row[4].append({"did": did, "th": th, "start": at})
-            if len(told) > MEMO_WORDS:
-                told.clear()
-            rows = [(*r[:3], len(some), some, None if i else r[5]) for r in met.values() for i in range(0, r[3], PLACES) for some in [r[4][i : i + PLACES]]]
-            cols = list(zip(*rows, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, kinds, strict=True)], names=["a", "s", "hot", "k", "places", "words"])
-
-
-def repeated_windows(rows: list[bytes], counts: list[int], window: int) -> list[np.ndarray]:
+            segs = part.column("segs")
+            flat = segs.flatten()
+            own = pa.array(np.repeat(np.arange(len(texts)), segs.value_lengths().to_numpy(zero_copy_only=False)))
+            start, n = (flat.field(c).to_numpy() for c in ("start", "n"))
+            cut, last, words = [], -1, []
+            for row, at, size in zip(own.to_pylist(), start.tolist(), n.tolist(), strict=True):
+                if row != last:
+                    last, words = row, (texts[row] or b"").split()
+                cut.append(b" ".join(words[at : at + size + window - 1]))
+            yield pa.RecordBatch.from_arrays(
+                [*(flat.field(c) for c in ("a", "s", "s2", "hot", "once", "start")), part.column("did").take(own), part.column("th").take(own), pa.array(cut, pa.binary())],
+                names=["a", "s", "s2", "hot", "once", "start", "did", "th", "words"],
+            )
+
+
+def repeated_windows(rows: list[bytes], once: list[bool], window: int) -> list[np.ndarray]:
     """For each distinct segment (words joined by blanks) of a shard, which of its windows occur twice or more among the segments.
 
-    A segment that was met several times repeats whole; the others are streamed against the index of all.
+    A segment that was met several times (not `once`) repeats whole; the others are streamed against the index of all.
     """
     ids: dict[bytes, int] = {}
     codes = [np.array([ids.setdefault(w, len(ids) + 1) for w in r.split(b" ")], np.int64) for r in rows]
     text = np.concatenate([x for c in codes for x in (c, [0])])
     base = np.concatenate(([0], np.cumsum([len(c) + 1 for c in codes])))
-    alone = [k for k in range(len(codes)) if counts[k] == 1]
+    alone = [k for k in range(len(codes)) if once[k]]
     found = [np.ones(len(c) - window + 1, bool) for c in codes]
     if alone:
         ends = [base[k] + np.arange(window, len(codes[k]) + 1) for k in alone]
@@ -153,36 +143,38 @@ def repeated_windows(rows: list[bytes], counts: list[int], window: int) -> list[
     return found
 
 
-def _runs(hit: np.ndarray) -> list[dict[str, int]]:
+def _runs(hit: np.ndarray, first: int) -> list[dict[str, int]]:
     edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
-    return [{"start": s, "n": e - s} for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
-
-
+    return [{"start": first + s, "n": e - s} for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
 
 
 def _indexed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Distinct segments come sorted by anchor: shards of bounded size, cut between anchors; yields each one's repeated windows as runs."""
+    """Segments come sorted by anchor and hashes: shards of bounded size, cut between anchors; yields the repeated windows of those that are alone as runs of their text."""
 
     def shard(rows: list[tuple]) -> pa.RecordBatch:
-        found = repeated_windows([r[3] for r in rows], [r[2] for r in rows], window)
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([_runs(x) for x in found], _RUNS)], names=["a", "s", "runs"])
+        found = repeated_windows([r[6] for r in rows], [r[2] for r in rows], window)
+        some = [(r[4], r[5], _runs(x, r[3])) for r, x in zip(rows, found, strict=True) if r[2] and x.any()]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in some], kind) for i, kind in enumerate((pa.int64(), pa.int64(), _RUNS))], names=["did", "th", "runs"])
 
     held, words, last = [], 0, None
     for batch in batches:
         for part, texts in blocks(batch, "words"):
-            for row in zip(*(part.column(c).to_pylist() for c in ("a", "s", "k")), texts, strict=True):
-                if row[0] != last and words >= SHARD_WORDS:
+            anchors = part.column("a").to_pylist()
+            for a, *row in zip(anchors, *(part.column(c).to_pylist() for c in ("s", "s2", "once", "start", "did", "th")), texts, strict=True):
+                if a != last and words >= SHARD_WORDS:
                     yield shard(held)
                     held, words = [], 0
-                last = row[0]
+                if a == last and held[-1][:2] == row[:2]:
+                    continue  # cut twice, from repeated rows of one id
+                last = a
                 held.append(row)
-                words += row[3].count(b" ") + 1
+                words += row[6].count(b" ") + 1
     if held:
         yield shard(held)
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The window hashes of distinct segments of hot anchors."""
+    """The window hashes of segments of hot anchors."""
     memo, powers = WordHashes(), Powers()
     for batch in batches:
         for part, texts in blocks(batch, "words"):
@@ -193,7 +185,8 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
                 got.append((spans(h, at, at + window, powers, 0), spans(h, at, at + window, powers, 1), at.astype(np.int32)))
             row = pa.array(np.repeat(np.arange(len(texts)), [len(g[2]) for g in got]))
             one, two, at = (np.concatenate([g[i] for g in got]) for i in range(3))
-            yield pa.RecordBatch.from_arrays([_signed(one), _signed(two), pa.array(at), *(part.column(c).take(row) for c in ("a", "s", "k"))], names=["w1", "w2", "i", "a", "s", "k"])
+            names = ("once", "start", "did", "th")
+            yield pa.RecordBatch.from_arrays([_signed(one), _signed(two), pa.array(at), *(part.column(c).take(row) for c in names)], names=["w1", "w2", "i", *names])
 
 
 def _islands(starts: Column) -> Column:
@@ -213,8 +206,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(did, th, runs): for each document (see row_key) with repeated windows, runs of (first window, number of windows).
 
     Joins with texts always shuffle by the same keys (the hint), so that small inputs are worked on as large ones are.
-    Places of equal segments travel together: a passage that very many documents share is one row a block of them until the
-    end, where its places are dealt evenly.
+    A passage that very many documents share costs each of them a narrow row and its words are cut once.
     """
     with scratch(docs.sparkSession) as made:
         return made.keep(_repeats(docs, window))
@@ -224,31 +216,34 @@ def _repeats(docs: DataFrame, window: int) -> DataFrame:
     spark = docs.sparkSession
     tune(spark)
     keyed = row_key(docs.select("doc_id", "text")).select("did", "th", "text")
-    marks = durable(keyed.mapInArrow(lambda it: _marks(it, window), "a long, s long, did long, th long, start int, n int"))
-    counted = marks.groupBy("a").agg(F.count("*").alias("k"), F.min("s").alias("lo"), F.max("s").alias("hi"))
-    kind = F.when(F.col("lo") == F.col("hi"), 0).when(F.col("k") <= HOT, 1).otherwise(2)
-    met = durable(counted.where("k > 1").select("a", kind.alias("kind")))
+    marks = durable(keyed.mapInArrow(lambda it: _marks(it, window), "a long, s long, s2 long, did long, th long, start int, n int"))
+    shared = durable(marks.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a"))
     release(spark)
-    found = durable(marks.join(met.hint("merge"), "a").groupBy("did", "th").agg(F.collect_set(F.struct("start", "n", "kind", "a", "s")).alias("segs")))
+    near = durable(marks.join(shared.hint("merge"), "a", "left_semi").withColumn("place", F.xxhash64("did", "th", "start")))
     release(spark)
-    unequal = found.select("did", "th", F.filter("segs", lambda x: x["kind"] > 0).alias("segs")).where(F.size("segs") > 0)
-    cut = durable(keyed.join(unequal.hint("merge"), ["did", "th"]).mapInArrow(lambda it: _cut(it, window), "a long, s long, hot boolean, k long, places array<struct<did: long, th: long, start: int>>, words binary"))
+    kinds = durable(near.groupBy("a", "s", "s2").agg(F.count("*").alias("c"), F.min("place").alias("first")))
+    unlike = kinds.groupBy("a").agg(F.count("*").alias("d"), F.min("c").alias("least")).select("a", "d", ((F.col("d") > 1) & (F.col("least") == 1)).alias("look"))
+    met = durable(kinds.join(unlike.hint("merge"), "a"))
     release(spark)
-    distinct = durable(cut.groupBy("a", "s").agg(F.sum("k").alias("k"), F.first("words", ignorenulls=True).alias("words"), F.first("hot").alias("hot")))
-    shards = distinct.where("not hot").select("a", "s", "k", "words").repartition("a").sortWithinPartitions("a")
-    runs = "array<struct<start: int, n: int>>"
-    indexed = shards.mapInArrow(lambda it: _indexed(it, window), f"a long, s long, runs {runs}")
-    every = durable(distinct.where("hot").select("a", "s", "k", "words").mapInArrow(lambda it: _windows(it, window), "w1 long, w2 long, i int, a long, s long, k long"))
-    often = every.groupBy("w1", "w2").agg(F.sum("k").alias("all")).where(F.col("all") > 1).select("w1", "w2")
-    starts = F.sort_array(F.collect_set("i"))
-    counted_hot = every.join(often, ["w1", "w2"]).groupBy("a", "s").agg(starts.alias("i")).select("a", "s", _islands(F.col("i")).alias("runs"))
-    known = durable(indexed.unionByName(counted_hot).where(F.size("runs") > 0))
+    cut_here = F.col("look") & (F.col("place") == F.col("first"))
+    whole = F.when(F.col("c") > 1, F.struct("start", "n"))
+    named = F.when(cut_here, F.struct("start", "n", "a", "s", "s2", (F.col("d") > HOT).alias("hot"), (F.col("c") == 1).alias("once")))
+    joined = near.join(met.hint("merge"), ["a", "s", "s2"]).select("did", "th", whole.alias("whole"), named.alias("named"))
+    found = durable(joined.groupBy("did", "th").agg(F.collect_set("whole").alias("whole"), F.collect_set("named").alias("segs")))
     release(spark)
-    back = cut.select("a", "s", "places").join(known, ["a", "s"]).repartition(F.xxhash64("a", "s", F.col("places")[0]))
-    back = back.select("runs", F.explode("places").alias("p"))
-    back = back.select("p.did", "p.th", F.transform("runs", lambda r: F.struct((F.col("p.start") + r["start"]).alias("start"), r["n"].alias("n"))).alias("runs"))
-    equal = found.select("did", "th", F.transform(F.filter("segs", lambda x: x["kind"] == 0), lambda x: F.struct(x["start"].alias("start"), x["n"].alias("n"))).alias("runs")).where(F.size("runs") > 0)
-    return durable(back.unionByName(equal).groupBy("did", "th").agg(F.flatten(F.collect_set("runs")).alias("runs")))
+    wanted = found.where(F.size("segs") > 0).select("did", "th", F.sort_array("segs").alias("segs"))
+    kind = "a long, s long, s2 long, hot boolean, once boolean, start int, did long, th long, words binary"
+    cut = durable(keyed.join(wanted.hint("merge"), ["did", "th"]).mapInArrow(lambda it: _cut(it, window), kind))
+    release(spark)
+    runs = "array<struct<start: int, n: int>>"
+    shards = cut.where("not hot").drop("hot").repartition("a").sortWithinPartitions("a", "s", "s2")
+    indexed = shards.mapInArrow(lambda it: _indexed(it, window), f"did long, th long, runs {runs}")
+    every = durable(cut.where("hot").select("once", "start", "did", "th", "words").mapInArrow(lambda it: _windows(it, window), "w1 long, w2 long, i int, once boolean, start int, did long, th long"))
+    often = every.groupBy("w1", "w2").agg(F.count("*").alias("all")).where(F.col("all") > 1).select("w1", "w2")
+    starts = F.sort_array(F.collect_set(F.col("start") + F.col("i")))
+    hashed = every.where("once").join(often, ["w1", "w2"]).groupBy("did", "th", "start").agg(starts.alias("i")).select("did", "th", _islands(F.col("i")).alias("runs"))
+    equal = found.where(F.size("whole") > 0).select("did", "th", F.col("whole").alias("runs"))
+    return durable(indexed.unionByName(hashed).unionByName(equal).groupBy("did", "th").agg(F.flatten(F.collect_set("runs")).alias("runs")))
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
