@@ -5,8 +5,8 @@ The windows of a document that share an anchor form one segment. A segment whose
 windows of one that is met twice or more repeat. What is left are segments that are alone among unequal ones of their anchor:
 each distinct segment of such an anchor is cut from one of its places and dealt by anchor into shards; each shard gets a
 compressed FM-index (a wavelet matrix over the BWT), against which the segments that are alone are streamed by backward search.
-Anchors of more than HOT distinct segments would swell a shard: their windows are counted by 128-bit hash instead, which adds
-up before the shuffle.
+An anchor whose distinct segments have more words than a shard takes (HOT) has the windows of these counted by 128-bit hash
+instead, which adds up before the shuffle.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ from .common import WordHashes, blocks, durable, hashes, mix, release, row_key,
 from .fmindex import FMIndex
 
 WINDOW, GRAM = 50, 7
-#: Distinct segments of an anchor above which its windows are counted by hash; words of a shard's index; words of a piece of a text.
-HOT, SHARD_WORDS, PIECE = 256, 150_000, 4_000_000
+#: Words of a shard's index, words of an anchor's distinct segments above which its windows are counted by hash, words of a piece of a text.
+SHARD_WORDS, PIECE = 150_000, 4_000_000
+HOT = SHARD_WORDS
 _B = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _INVERSE = tuple(np.uint64(pow(int(b), -1, 2**64)) for b in _B)
 
@@ -221,13 +222,13 @@ def _repeats(docs: DataFrame, window: int) -> DataFrame:
     release(spark)
     near = durable(marks.join(shared.hint("merge"), "a", "left_semi").withColumn("place", F.xxhash64("did", "th", "start")))
     release(spark)
-    kinds = durable(near.groupBy("a", "s", "s2").agg(F.count("*").alias("c"), F.min("place").alias("first")))
-    unlike = kinds.groupBy("a").agg(F.count("*").alias("d"), F.min("c").alias("least")).select("a", "d", ((F.col("d") > 1) & (F.col("least") == 1)).alias("look"))
+    kinds = durable(near.groupBy("a", "s", "s2").agg(F.count("*").alias("c"), F.min("place").alias("first"), (F.first("n") + (window - 1)).alias("size")))
+    unlike = kinds.groupBy("a").agg(F.count("*").alias("d"), F.min("c").alias("least"), F.sum("size").alias("words")).select("a", "words", ((F.col("d") > 1) & (F.col("least") == 1)).alias("look"))
     met = durable(kinds.join(unlike.hint("merge"), "a"))
     release(spark)
     cut_here = F.col("look") & (F.col("place") == F.col("first"))
     whole = F.when(F.col("c") > 1, F.struct("start", "n"))
-    named = F.when(cut_here, F.struct("start", "n", "a", "s", "s2", (F.col("d") > HOT).alias("hot"), (F.col("c") == 1).alias("once")))
+    named = F.when(cut_here, F.struct("start", "n", "a", "s", "s2", (F.col("words") > HOT).alias("hot"), (F.col("c") == 1).alias("once")))
     joined = near.join(met.hint("merge"), ["a", "s", "s2"]).select("did", "th", whole.alias("whole"), named.alias("named"))
     found = durable(joined.groupBy("did", "th").agg(F.collect_set("whole").alias("whole"), F.collect_set("named").alias("segs")))
     release(spark)

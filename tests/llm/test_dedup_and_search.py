@@ -194,7 +194,7 @@ def repeats_brute(rows, window):
     return sorted(((d, len(w), len(g), hashlib.sha256(b" ".join(x for i, x in enumerate(w) if i not in g)).hexdigest()) for (d, w), g in zip(split, gone, strict=True)), key=str)
 
 
-@pytest.mark.parametrize(("window", "hot"), [(8, 256), (8, 2), (12, 3), (35, 256)])
+@pytest.mark.parametrize(("window", "hot"), [(8, 256), (8, 2), (12, 3), (35, 256), (8, 150_000)])
 def test_repeated_passages(spark, monkeypatch, window, hot):
     monkeypatch.setattr(substring, "HOT", hot)
     monkeypatch.setattr(substring, "SHARD_WORDS", 500)
