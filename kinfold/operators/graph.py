@@ -1,4 +1,4 @@
-"""Graph operators: connected components, Markov clustering, representative clustering, bin packing."""
+"""Graph operators: connected components, Markov clustering, representative clustering."""
 
 from __future__ import annotations
 
@@ -196,23 +196,3 @@ def representatives(pairs: DataFrame, nodes: DataFrame, identity: float = 0.5) -
         discard(before, now)
     discard(up, now)
     return settled.select("rep", F.col("id").alias("member"))
-
-
-def lpt_bins(items: DataFrame, bins: int) -> DataFrame:
-    """(item, size, bin): largest first to the least loaded bin. An ordered fold over one stream of (item, size) pairs."""
-    import heapq
-
-    kind = items.schema["item"].dataType.simpleString()
-
-    def run(batches):
-        load = [(0, b) for b in range(bins)]
-        for pdf in batches:
-            out = []
-            for s in pdf["size"].tolist():
-                total, b = heapq.heappop(load)
-                heapq.heappush(load, (total + s, b))
-                out.append(b)
-            yield pdf.assign(bin=out)
-
-    ordered = items.select("item", "size").orderBy(F.col("size").desc(), "item").coalesce(1)
-    return ordered.mapInPandas(run, f"item {kind}, size long, bin int")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,27 +34,6 @@ def neighbours(rows: DataFrame, key: str, order: list) -> DataFrame:
     return at.join(prev, "_i").join(after, "_i").drop("_i")
 
 
-def paginate(rows: DataFrame, most: int) -> DataFrame:
-    """(item, size, page): pages in order of size down and item, a new one where the sum of sizes would exceed `most`.
-
-    Each page's start depends on all before it: an ordered fold over one stream of narrow rows.
-    """
-    kind = rows.schema["item"].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        page, held = 1, 0
-        for pdf in batches:
-            out = []
-            for s in pdf["size"].tolist():
-                if held and held + s > most:
-                    page, held = page + 1, 0
-                held += s
-                out.append(page)
-            yield pdf.assign(page=out)
-
-    return rows.select("item", "size").orderBy(F.col("size").desc(), "item").coalesce(1).mapInPandas(run, f"item {kind}, size long, page int")
-
-
 def histogram(rows: DataFrame, *by: str) -> DataFrame:
     """(size, n): how many groups have how many rows."""
     return rows.groupBy(*by).agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions import annotations as A
 from kinfold.operators import families as M
-from kinfold.operators import graph, nr, propagate, reports
+from kinfold.operators import folds, graph, nr, propagate, reports
 
 from .registry import Tables, query
 
@@ -181,7 +181,7 @@ SELECT f.item, f.size, f.n, (list_position(loads, list_min(loads)) - 1)::INTEGER
 SELECT item, size, bin FROM r WHERE n > 0""")
 def lpt_bins(t: Tables) -> DataFrame:
     cost = t.documents.groupBy("source", "lang").agg(F.greatest(F.lit(5000), F.sum("n_chars")).cast("long").alias("size"))
-    return graph.lpt_bins(cost.select(F.concat_ws("/", "source", "lang").alias("item"), "size"), 8)
+    return folds.lpt_bins(cost.select(F.concat_ws("/", "source", "lang").alias("item"), "size"), 8)
 
 
 _OLD = """old AS (SELECT l_orderkey * 10 + l_linenumber AS md5, l_partkey AS fam FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-01-01'),

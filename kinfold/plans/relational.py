@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.operators import genomes as Q
-from kinfold.operators import reports
+from kinfold.operators import folds, reports
 from kinfold.sources import sequences as io
 
 from .registry import Tables, query
@@ -119,7 +119,7 @@ def genomes_per_family(t: Tables) -> DataFrame:
 r AS (SELECT item, size, n, 1 AS page, size AS held FROM f WHERE n = 1 UNION ALL SELECT f.item, f.size, f.n, CASE WHEN held + f.size > 100 THEN page + 1 ELSE page END, CASE WHEN held + f.size > 100 THEN f.size ELSE held + f.size END FROM r JOIN f ON f.n = r.n + 1)
 SELECT item, size, page FROM r""")
 def paginate(t: Tables) -> DataFrame:
-    return reports.paginate(t.part.groupBy(F.col("p_name").alias("item")).agg(F.count("*").alias("size")), 100)
+    return folds.paginate(t.part.groupBy(F.col("p_name").alias("item")).agg(F.count("*").alias("size")), 100)
 
 
 @query("""WITH f AS (SELECT p_name AS fam, count(*) AS size FROM part GROUP BY p_name), w AS (SELECT fam, size, lag(fam) OVER (ORDER BY size DESC, fam) AS p, lead(fam) OVER (ORDER BY size DESC, fam) AS n FROM f)

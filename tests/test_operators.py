@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.operators import calling, families, genomes, graph, nr, propagate, reports
+from kinfold.operators import calling, families, folds, genomes, graph, nr, propagate, reports
 from kinfold.operators import signatures as G
 from kinfold.operators.signatures import Options
 from kinfold.sources import sequences as io
@@ -114,10 +114,10 @@ def test_representatives(spark):
 
 def test_lpt_and_pages(spark):
     items = spark.createDataFrame([("a", 7), ("b", 6), ("c", 5), ("d", 4), ("e", 3)], "item string, size long")
-    bins = {r["item"]: r["bin"] for r in graph.lpt_bins(items, 2).collect()}
+    bins = {r["item"]: r["bin"] for r in folds.lpt_bins(items, 2).collect()}
     load = [sum(s for i, s in (("a", 7), ("b", 6), ("c", 5), ("d", 4), ("e", 3)) if bins[i] == b) for b in (0, 1)]
     assert sorted(load) == [11, 14]
-    assert [r["page"] for r in reports.paginate(items, 12).orderBy("item").collect()] == [1, 2, 2, 3, 3]
+    assert [r["page"] for r in folds.paginate(items, 12).orderBy("item").collect()] == [1, 2, 2, 3, 3]
 
 
 def test_nr_and_inflate_keep_membership(spark):
