@@ -1,3 +1,3 @@
 """The queries of the engine; importing the package registers them all."""
 
-from . import alignments, calls, clustering, learning, relational, rules, scans, selections, sources  # noqa: F401
+from . import alignments, calls, clustering, folds, learning, relational, rules, scans, selections, sources  # noqa: F401

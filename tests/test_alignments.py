@@ -112,3 +112,14 @@ def test_folds_of_nulls_and_nothing(spark):
     assert sorted(map(tuple, folds.paginate(df, 3).collect()), key=str) == sorted([(None, 3, 1), (2**60 + 1, 2, 2), (7, 0, 2)], key=str)
     assert {(x["item"], x["bin"]) for x in folds.lpt_bins(df, 2).collect()} == {(None, 0), (2**60 + 1, 1), (7, 1)}
     assert folds.paginate(df.limit(0), 3).collect() == [] == folds.lpt_bins(df.limit(0), 3).collect()
+
+
+def test_folds_of_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    rows = sorted(((d["doc_id"], len(d["text"] or "")) for d in docs), key=lambda x: (-x[1], x[0]))
+    sizes = [s for _, s in rows]
+    got = {x["item"]: (x["size"], x["page"]) for x in registry.QUERIES["document_pages"](spark, folder).collect()}
+    assert got == {i: (s, p) for (i, s), p in zip(rows, pages(sizes, 10_000))}
+    got = {x["item"]: x["bin"] for x in registry.QUERIES["document_bins"](spark, folder).collect()}
+    assert got == dict(zip([i for i, _ in rows], packed(sizes, 64)))
