@@ -7,7 +7,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold.functions.sequences import K, call_kmers, explode_kmers, valid_kmer
+from kinfold.functions.sequences import K, call_kmers, valid_windows
 
 
 @dataclass(frozen=True)
@@ -24,8 +24,7 @@ class Options:
 def occurrences(seqs: DataFrame, k: int = K) -> DataFrame:
     """(id, function, kmer, pos, len) of every valid window of annotated sequences (id, function, seq)."""
     named = seqs.where(F.col("function").isNotNull() & (F.col("function") != ""))
-    rows = explode_kmers(named.select("id", "function", "seq", F.length("seq").alias("len")), "seq", k)
-    return rows.where(valid_kmer(F.col("kmer"), k)).select("id", "function", "kmer", "pos", "len")
+    return valid_windows(named.select("id", "function", "seq", F.length("seq").alias("len")), "seq", k).select("id", "function", "kmer", "pos", "len")
 
 
 def kmer_counts(rows: DataFrame) -> DataFrame:
@@ -109,7 +108,7 @@ def function_index(functions: DataFrame) -> DataFrame:
 
 def hits(seqs: DataFrame, sigs: DataFrame, k: int = K) -> DataFrame:
     """(id, pos, len, kmer, function, weight) of each window that is a signature: an equi-join on the k-mer."""
-    rows = explode_kmers(seqs.select("id", "seq", F.length("seq").alias("len")), "seq", k).where(valid_kmer(F.col("kmer"), k)).select("id", "pos", "len", "kmer")
+    rows = valid_windows(seqs.select("id", "seq", F.length("seq").alias("len")), "seq", k).select("id", "pos", "len", "kmer")
     return rows.join(sigs, "kmer")
 
 
@@ -123,12 +122,19 @@ def table(rows: DataFrame, sigs: DataFrame, otus: DataFrame) -> DataFrame:
     return sigs.join(length_stats(rows, sigs), "kmer").join(offset_median(rows, sigs), "kmer").join(per.select("kmer", F.col("x.otu").alias("otu")), "kmer", "left")
 
 
-def call_hits(seqs: DataFrame, lookup: DataFrame, k: int = K) -> DataFrame:
+def call_windows(seqs: DataFrame, k: int = K, amino: bool = False) -> DataFrame:
+    """(id, pos, kmer) of the windows of seqs (id, seq) that calling looks at; if `amino`, of those that amino acid letters make up alone."""
+    seqs = seqs.select("id", "seq")
+    return (valid_windows(seqs, "seq", k, calling=True) if amino else call_kmers(seqs, "seq", k)).select("id", "pos", "kmer")
+
+
+def call_hits(seqs: DataFrame, lookup: DataFrame, k: int = K, amino: bool = False) -> DataFrame:
     """(id, pos, function, weight, mean, from_end, otu): hits of the windows that calling looks at.
 
-    lookup is any table of k-mers with the columns of table(): what it comes from makes no difference.
+    lookup is any table of k-mers with the columns of table(): what it comes from makes no difference. What was learnt from
+    occurrences() has amino acid letters alone; `amino` says so, and no other window is then put together.
     """
-    rows = call_kmers(seqs.select("id", "seq"), "seq", k).select("id", "pos", "kmer")
+    rows = call_windows(seqs, k, amino)
     return rows.join(lookup, "kmer").select("id", "pos", "function", "weight", F.col("mean").cast("double").alias("mean"), F.col("avg_from_end").alias("from_end"), "otu")
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.functions.sequences import K, call_kmers
+from kinfold.functions.sequences import K
+
+from .signatures import call_windows
 
 
 class SignatureStore:
@@ -36,9 +38,12 @@ class SignatureStore:
         """The signatures among some k-mers: only their buckets are read."""
         return self.table().where(F.col("kmer").isin(kmers))
 
-    def hits(self, seqs: DataFrame, k: int = K) -> DataFrame:
-        """(id, pos, and the store's columns but the k-mer) of each window of seqs (id, seq) that calling looks at and the store has."""
-        rows = call_kmers(seqs.select("id", "seq"), "seq", k).select("id", "pos", "kmer")
+    def hits(self, seqs: DataFrame, k: int = K, amino: bool = False) -> DataFrame:
+        """(id, pos, and the store's columns but the k-mer) of each window of seqs (id, seq) that calling looks at and the store has.
+
+        `amino`: the store has k-mers of amino acid letters alone.
+        """
+        rows = call_windows(seqs, k, amino)
         return rows.join(self.table().hint("merge"), "kmer").drop("kmer")
 
     def drop(self) -> None:

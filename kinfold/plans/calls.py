@@ -36,7 +36,7 @@ def lookup_table(t: Tables) -> DataFrame:
 
 
 def document_hits(t: Tables) -> DataFrame:
-    return G.call_hits(proteins(t), lookup_table(t))
+    return G.call_hits(proteins(t), lookup_table(t), amino=True)
 
 
 @query(f"""WITH {_LOOKUP} SELECT id, function, count(*) AS hits, round(sum(weight), 3) AS weight, sum(mean)::BIGINT AS means, sum(from_end)::BIGINT AS from_end, count(DISTINCT otu) AS otus FROM co JOIN lookup USING (kmer) GROUP BY ALL""")

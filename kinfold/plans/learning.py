@@ -163,8 +163,8 @@ _CODE = " + ".join(f"(instr('{S.AMINO}', substr(kmer, {i + 1}, 1)) - 1) * {20 **
 @query(f"""WITH r AS (SELECT unnest(regexp_extract_all(translate(text, '{S.LOWER}', '{S.UPPER}'), '[{S.AMINO}]{{8,}}')) AS r FROM documents), w AS (SELECT substr(r, i, 8) AS kmer FROM (SELECT r.r, unnest(range(1, length(r.r) - 6)) AS i FROM r))
 SELECT kmer, ({_CODE})::BIGINT AS code, kmer AS decoded, count(*) AS n FROM w GROUP BY kmer""")
 def kmer_encode20(t: Tables) -> DataFrame:
-    rows = S.explode_kmers(t.documents.select(S.ascii_upper(F.col("text")).alias("seq")), "seq")
-    one = rows.where(F.col("kmer").rlike(f"^[{S.AMINO}]{{8}}$")).groupBy("kmer").agg(F.count("*").alias("n"))
+    rows = S.valid_windows(t.documents.select(S.ascii_upper(F.col("text")).alias("seq")), "seq")
+    one = rows.groupBy("kmer").agg(F.count("*").alias("n"))
     return one.withColumn("code", S.encode20(F.col("kmer"))).withColumn("decoded", S.decode20(F.col("code")))
 
 

@@ -60,3 +60,17 @@ def test_representatives_of_documents(spark, told):
         rep[i] = min(near, key=lambda j: (-own[j][2], j), default=i)
     got = {r["member"]: r["rep"] for r in registry.QUERIES["representative_clusters_documents"](spark, folder).collect()}
     assert got == {i: rep[t] for i, t in first.items()}
+
+
+def test_meetings_are_counted_in_blocks(spark, told, monkeypatch):
+    """No join on k-mers and no rows of meetings in the plan; blocks, and parts of blocks, of any size give the same pairs."""
+    from kinfold.plans.clustering import distinct_documents
+
+    texts = distinct_documents(registry.Tables(spark, told[0]))
+    for hot, kmers, cells in ((3, 10**6, 50), (10**6, 40, 7), (10**6, 10**6, 1)):
+        for name, value in (("HOT", hot), ("BLOCK_KMERS", kmers), ("CELLS", cells)):
+            monkeypatch.setattr(nr, name, value)
+        got = nr.shared_kmers(texts, least_score=0.5)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "kmer#" not in plan and plan.count("Join") == 1  # that of a function's number of blocks
+        assert {(r["id1"], r["id2"]): (r["function"], r["n_common"], r["score"]) for r in got.collect()} == {k: v for k, v in told[3].items() if v[2] >= 0.5}

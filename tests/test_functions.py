@@ -89,3 +89,25 @@ def test_recall_classes(spark):
     rows = [("a", "a", "unchanged"), ("hypothetical protein", "a", "added"), ("a", "", "lost"), ("a", "b", "changed"), ("hypothetical protein", "", "unchanged")]
     df = spark.createDataFrame(rows, "o string, n string, want string")
     assert all(r[0] == r[1] for r in df.select(A.recall_class(F.col("o"), F.col("n")), "want").collect())
+
+
+def test_windows_of_runs_are_those_of_letters(spark):
+    texts = ["ACDEFGHIKL", "acdefghiX", "ACDEFGHI*", "ACDEFGHIx", "größe ACDEFGHIKLM ÄÖ", "中\U0001f600ACDEFGHIKXACDEFGHIK", "BACDEFGHIKLMNB", "", "ACDEFGH", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, seq string")
+    pick = lambda x: sorted(map(tuple, x.select("id", "pos", "kmer").collect()))
+    plain = S.explode_kmers(df, "seq")
+    assert pick(S.valid_windows(df, "seq", most=2)) == pick(plain.where(S.valid_kmer(plain["kmer"])))
+    called = S.call_kmers(df, "seq")
+    got = pick(S.valid_windows(df, "seq", calling=True))
+    assert got == pick(called.where(S.valid_kmer(called["kmer"]))) and len(got) > 10
+
+
+def test_learning_takes_windows_from_runs(spark):
+    """A row for each window of letters alone: no plan splits a text into all its letters and windows."""
+    from kinfold.operators import signatures as G
+
+    seqs = spark.createDataFrame([(1, "f", "ACDEFGHIK and ACDEFGHIK")], "id int, function string, seq string")
+    sigs = spark.createDataFrame([("ACDEFGHI", "f", 1.0, 2, 3, "o")], "kmer string, function string, weight double, mean long, avg_from_end int, otu string")
+    for rows in (G.occurrences(seqs), G.hits(seqs, sigs), G.call_hits(seqs, sigs, amino=True)):
+        assert "posexplode" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["pos"] for r in G.call_hits(seqs, sigs, amino=True).collect()) == [0, 14]
