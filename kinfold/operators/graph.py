@@ -177,22 +177,30 @@ def representatives(pairs: DataFrame, nodes: DataFrame, identity: float = 0.5) -
     """(rep, member): greedy representatives by size. A node is a representative unless a larger one (ties: the lesser id) with
     score of `identity` or more is; members go to the largest such.
 
-    Decided in rounds: a node whose larger neighbours are all settled is settled next, so a round is two joins and the number
-    of rounds is the longest chain of ever larger neighbours.
+    Decided in rounds over the links to larger nodes: a node without any such link left represents itself, those linked to it are
+    then members, and the links of members go, as members hold back nobody. Whose member a node is follows once all are decided.
     """
     order = F.struct((-F.col("size")).alias("s"), F.col("id"))
     n = nodes.select("id", order.alias("o"))
     p = pairs.where(F.col("score") >= identity)
     both = p.select("a", "b").unionByName(p.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     up = cut_lineage(both.join(n.select(F.col("id").alias("a"), F.col("o").alias("oa")), "a").join(n.select(F.col("id").alias("b"), F.col("o").alias("ob")), "b").where("ob < oa").select("a", "b", "ob"))
-    settled = cut_lineage(n.join(up.select(F.col("a").alias("id")), "id", "left_anti").select("id", F.col("id").alias("rep")))
+    left, members = up.select("a", "b"), None
+    before = None
     while True:
-        open_ = up.join(settled.select(F.col("id").alias("a")), "a", "left_anti").join(settled.select(F.col("id").alias("b"), F.col("rep").alias("rb")), "b", "left")
-        state = open_.groupBy("a").agg(F.count_if(F.col("rb").isNull()).alias("waiting"), F.min(F.when(F.col("rb") == F.col("b"), F.struct("ob", "b"))).alias("best"))
-        now = cut_lineage(state.where("waiting = 0").select(F.col("a").alias("id"), F.coalesce("best.b", "a").alias("rep")))
+        tops = left.select("b").distinct().join(left.select(F.col("a").alias("b")), "b", "left_anti")
+        now = cut_lineage(left.join(tops, "b", "left_semi").select("a").distinct())
         if now.isEmpty():
             break
-        before, settled = settled, cut_lineage(settled.unionByName(now))
-        discard(before, now)
-    discard(up, now)
-    return settled.select("rep", F.col("id").alias("member"))
+        members = now if members is None else members.unionByName(now)
+        left = cut_lineage(left.join(now, "a", "left_anti").join(now.select(F.col("a").alias("b")), "b", "left_anti").select("a", "b"))
+        discard(before)
+        before = left
+    discard(before, now)
+    if members is None:
+        discard(up)
+        return n.select(F.col("id").alias("rep"), F.col("id").alias("member"))
+    own = up.join(members.select(F.col("a").alias("b")), "b", "left_anti").groupBy("a").agg(F.min("ob").alias("best"))
+    own = cut_lineage(own.select(F.col("a").alias("id"), F.col("best.id").alias("rep")))
+    discard(up)
+    return n.join(own, "id", "left").select(F.coalesce("rep", "id").alias("rep"), F.col("id").alias("member"))

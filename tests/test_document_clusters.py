@@ -74,3 +74,19 @@ def test_meetings_are_counted_in_blocks(spark, told, monkeypatch):
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert "kmer#" not in plan and plan.count("Join") == 1  # that of a function's number of blocks
         assert {(r["id1"], r["id2"]): (r["function"], r["n_common"], r["score"]) for r in got.collect()} == {k: v for k, v in told[3].items() if v[2] >= 0.5}
+
+
+def test_representatives_of_a_clique_take_few_rounds(spark, monkeypatch):
+    """A node with a representative holds back nobody, so all of a clique are decided at once."""
+    r = random.Random(5)
+    size = {i: r.randint(1, 9) for i in range(90)}
+    pairs = [(a, b, 1.0) for a in range(30) for b in range(a)] + [(a, b, 1.0) for a in range(30, 90) for b in range(30, a) if r.random() < 0.05]
+    near = {frozenset(p[:2]) for p in pairs}
+    want = {}
+    for i in sorted(size, key=lambda i: (-size[i], i)):
+        want[i] = next((j for j in want if want[j] == j and frozenset((i, j)) in near), i)
+    cut, written = graph.cut_lineage, []
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: written.append(1) or cut(df))
+    nodes = spark.createDataFrame(list(size.items()), "id long, size int")
+    got = graph.representatives(spark.createDataFrame(pairs, "a long, b long, score double"), nodes)
+    assert {x["member"]: x["rep"] for x in got.collect()} == want and len(written) <= 15
