@@ -120,3 +120,14 @@ def test_sketch_search_recall_over_documents(spark):
     sure = [(a, b) for b in sets if b % 20 == 0 for a in sets if a != b and exact(sets[a], sets[b]) >= scans.LEAST + 0.1]
     got = {(x["genome"], x["ref"]) for x in registry.QUERIES["sketch_search"](spark, folder).collect()}
     assert sum(p in got for p in sure) >= 0.95 * len(sure)
+
+
+def test_sketches_are_cut_where_texts_are_read(spark, monkeypatch):
+    texts = ["größe und länge der Wörter " * 9, "plain letters only, and many of them " * 5, "中\U0001f600" * 40, "short", "", None]
+    df = spark.createDataFrame([(i % 4, t) for i, t in enumerate(texts)] + [(1, texts[0])], "genome long, seq string")
+    for k, at_once, held in ((3, 7, 20), (12, 10, 1), (16, 1 << 20, 10**6), (35, 50, 10**6)):
+        monkeypatch.setattr(sketches, "LETTERS_AT_ONCE", at_once)
+        monkeypatch.setattr(sketches, "HELD", held)
+        got = sketches.sketched(df, k, 30)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, sketches.bottom(sketches.hashed(df, k), 30).collect()))
+        assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
