@@ -123,3 +123,19 @@ def test_folds_of_documents(spark):
     assert got == {i: (s, p) for (i, s), p in zip(rows, pages(sizes, 10_000))}
     got = {x["item"]: x["bin"] for x in registry.QUERIES["document_bins"](spark, folder).collect()}
     assert got == dict(zip([i for i, _ in rows], packed(sizes, 64)))
+
+
+def test_many_unlike_rows_are_thinned_in_one_round(spark, monkeypatch):
+    """A family of unlike rows, some alike ones among them, of lengths about the width of a head and below a word."""
+    r = random.Random(8)
+    rows = []
+    for i in range(700):
+        text = "".join(r.choice("abcdefghijkl -é中") for _ in range(r.choice([3, 7, 8, 15, 40, 41])))
+        rows.append(("f", i, text))
+        if i % 7 == 0:
+            rows.append(("f", 1000 + i, text[:-1] + "z"))
+    cut, written = alignments.cut_lineage, []
+    monkeypatch.setattr(alignments, "cut_lineage", lambda df: written.append(1) or cut(df))
+    got = {(x["family"], x["id"]): (x["rep"], x["identity"]) for x in alignments.representatives(spark.createDataFrame(rows, "family string, id long, aligned string")).collect()}
+    assert got == plain(rows, 0.9) and 0 < sum(k[1] != v[0] for k, v in got.items()) < 300
+    assert len(written) <= 7
