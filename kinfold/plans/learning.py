@@ -39,8 +39,8 @@ def proteins(t: Tables) -> DataFrame:
 
 
 def learnt(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Occurrences of k-mers and the signatures among them: these are written once, whatever reads them how often."""
-    rows = G.occurrences(proteins(t))
+    """Occurrences of k-mers and the signatures among them: both are written once, whatever reads them how often."""
+    rows = cut_lineage(G.occurrences(proteins(t)))
     return rows, cut_lineage(G.signatures(rows))
 
 

@@ -131,3 +131,10 @@ def test_sketches_are_cut_where_texts_are_read(spark, monkeypatch):
         got = sketches.sketched(df, k, 30)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, sketches.bottom(sketches.hashed(df, k), 30).collect()))
         assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_occurrences_are_written_once(spark):
+    from kinfold.plans import learning, registry
+
+    rows, sigs = learning.learnt(registry.Tables(spark, "/root/testdata/sf0.001"))
+    assert rows._scratch_path and sigs._scratch_path
