@@ -35,3 +35,12 @@ def test_a_large_clique_is_a_cluster():
     e = [(a, b) for c in (range(30), range(30, 60)) for a in c for b in c if a < b] + [(29, 30)]
     a, b = np.array(e).T
     assert sorted(map(sorted, graph.mcl(a, b, np.r_[np.ones(len(e) - 1), 0.05], 3.0))) == [list(range(30)), list(range(30, 60))]
+
+
+def test_rounds_over_blocks_of_columns_write_the_flow_alone(spark, monkeypatch):
+    """Several blocks of columns; a round writes one table of flow, and neither squares nor sums of it by joins."""
+    e = [("g", c + a, c + b, 1.0) for c in (0, 200, 400) for a in range(200) for b in range(a + 1, 200)] + [("g", 199, 200, 0.05), ("g", 399, 400, 0.05)]
+    cut, written = graph.cut_lineage, []
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: written.append(1) or cut(df))
+    got = clusters(graph.markov_clusters(spark.createDataFrame(e, KIND), largest=5))
+    assert got == [("g", x // 200 * 200, x) for x in range(600)] and len(written) <= 16
