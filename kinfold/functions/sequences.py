@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,42 +45,42 @@ def valid_kmer(kmer: Column, k: int = K) -> Column:
     return kmer.rlike(f"^[{AMINO}{AMINO.lower()}]{{{k}}}$")
 
 
-def valid_windows(df: DataFrame, seq: str, k: int = K, calling: bool = False, most: int = 100_000) -> DataFrame:
+def valid_windows(df: DataFrame, seq: str, k: int = K, calling: bool = False, most: int = 100_000, together: int = 2_000_000) -> DataFrame:
     """df without `seq`, with a row per window of k amino acid letters of either case: pos (from 0) and kmer.
 
-    The rows of explode_kmers() that valid_kmer() keeps, from the runs of such letters, so a text pays for the windows that it
-    has and not for its letters. If `calling`, the window that ends just before `*` or `X` is left out, as call_kmers() does.
+    The rows of explode_kmers() that valid_kmer() keeps, found by counts of such letters over the bytes of many texts at
+    once. If `calling`, the window that ends just before `*` or `X` is left out, as call_kmers() does.
     """
     keep = [f for f in df.schema.fields if f.name != seq]
     schema = T.StructType([*keep, T.StructField("pos", T.IntegerType()), T.StructField("kmer", T.StringType())])
-    letters = f"[{AMINO}{AMINO.lower()}]{{{k},}}"
+    letter = np.isin(np.arange(256), list((AMINO + AMINO.lower()).encode()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = re.compile(letters).finditer
         for batch in batches:
             rest = batch.select([f.name for f in keep])
-            row, pos, kmer = [], [], []
-
-            def out() -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays([*rest.take(pa.array(row, pa.int32())).columns, pa.array(pos, pa.int32()), pa.array(kmer, pa.string())], names=[*rest.schema.names, "pos", "kmer"])
-
-            for i, text in enumerate(batch.column(seq)):
-                text = text.as_py() or ""
-                for m in runs(text):
-                    run, first = m.group(), m.start()
-                    n = len(run) - k + 1
-                    if calling and text[m.end() : m.end() + 1] in ("X", "*"):
-                        n -= 1
-                    for a in range(0, n, most):
-                        b = min(n, a + most)
-                        row += [i] * (b - a)
-                        pos += range(first + a, first + b)
-                        kmer += [run[j : j + k] for j in range(a, b)]
-                        if len(row) >= most:
-                            yield out()
-                            row, pos, kmer = [], [], []
-            if row:
-                yield out()
+            texts = pc.fill_null(batch.column(seq).cast(pa.large_string()), "")
+            offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            held = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+            at = 0
+            while at < len(texts):  # texts of about so many bytes are looked at together
+                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + together, "right")) - 1)
+                data, edge = held[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+                upto = np.append(np.int32(0), np.cumsum(letter[data], dtype=np.int32))
+                p = np.flatnonzero(upto[k:] - upto[:-k] == k) if len(data) >= k else np.zeros(0, np.int64)
+                row = np.searchsorted(edge, p, "right") - 1
+                good = p + k <= edge[row + 1]  # not across two texts
+                if calling:
+                    behind = data[np.minimum(p + k, len(data) - 1)]
+                    good &= (p + k >= edge[row + 1]) | ((behind != ord("X")) & (behind != ord("*")))
+                p, row = p[good], row[good]
+                starts = np.append(np.int32(0), np.cumsum((data & 0xC0) != 0x80, dtype=np.int32))  # of letters, in front of each byte
+                pos = starts[p] - starts[edge[row]]
+                for i in range(0, len(p), most):
+                    own = p[i : i + most]
+                    letters = np.lib.stride_tricks.sliding_window_view(data, k)[own].tobytes()
+                    kmer = pa.StringArray.from_buffers(len(own), pa.py_buffer(np.arange(0, k * len(own) + 1, k, dtype=np.int32)), pa.py_buffer(letters))
+                    yield pa.RecordBatch.from_arrays([*rest.take(pa.array(row[i : i + most] + at)).columns, pa.array(pos[i : i + most]), kmer], names=[*rest.schema.names, "pos", "kmer"])
+                at = to
 
     return df.mapInArrow(cut, schema)
 
