@@ -21,10 +21,10 @@ class Options:
     order_constraint: bool = False
 
 
-def occurrences(seqs: DataFrame, k: int = K) -> DataFrame:
-    """(id, function, kmer, pos, len) of every valid window of annotated sequences (id, function, seq)."""
+def occurrences(seqs: DataFrame, k: int = K, *more: str) -> DataFrame:
+    """(id, function, kmer, pos, len, and `more` columns of the sequence) of every valid window of annotated sequences (id, function, seq)."""
     named = seqs.where(F.col("function").isNotNull() & (F.col("function") != ""))
-    return valid_windows(named.select("id", "function", "seq", F.length("seq").alias("len")), "seq", k).select("id", "function", "kmer", "pos", "len")
+    return valid_windows(named.select("id", "function", "seq", F.length("seq").alias("len"), *more), "seq", k).select("id", "function", "kmer", "pos", "len", *more)
 
 
 def kmer_counts(rows: DataFrame) -> DataFrame:
@@ -75,8 +75,8 @@ def weigh(sigs: DataFrame, rows: DataFrame, seqs: DataFrame) -> DataFrame:
 
 def offset_median(rows: DataFrame, sigs: DataFrame) -> DataFrame:
     """Upper median of the distance from the end over all rows of a kept k-mer."""
-    off = rows.select("kmer", (F.col("len") - F.col("pos")).alias("off")).join(sigs.select("kmer"), "kmer", "left_semi")
-    per = off.groupBy("kmer", "off").agg(F.count("*").alias("n"))  # equal offsets add up first
+    off = rows.select("kmer", (F.col("len") - F.col("pos")).alias("off"))
+    per = off.groupBy("kmer", "off").agg(F.count("*").alias("n")).join(sigs.select("kmer"), "kmer", "left_semi")  # equal offsets add up first
     run = Window.partitionBy("kmer").orderBy("off")
     placed = per.withColumn("upto", F.sum("n").over(run)).withColumn("all", F.sum("n").over(Window.partitionBy("kmer")))
     return placed.where((F.col("upto") > F.floor(F.col("all") / 2)) & (F.col("upto") - F.col("n") <= F.floor(F.col("all") / 2))).select("kmer", F.col("off").alias("avg_from_end"))
@@ -84,9 +84,9 @@ def offset_median(rows: DataFrame, sigs: DataFrame) -> DataFrame:
 
 def length_stats(rows: DataFrame, sigs: DataFrame) -> DataFrame:
     """Whole-number mean, median and population variance of sequence length over a k-mer's best-function rows."""
-    own = rows.join(sigs.select("kmer", "function"), ["kmer", "function"], "left_semi")
     down = lambda c: F.floor(c + 1e-6).cast("long")
-    return own.groupBy("kmer").agg(down(F.avg("len")).alias("mean"), down(F.percentile("len", 0.5)).alias("median"), down(F.var_pop("len")).alias("var"))
+    each = rows.groupBy("kmer", "function").agg(F.avg("len").alias("a"), F.percentile("len", 0.5).alias("m"), F.var_pop("len").alias("v"))  # rows add up before they meet the signatures
+    return each.join(sigs.select("kmer", "function"), ["kmer", "function"], "left_semi").select("kmer", down(F.col("a")).alias("mean"), down(F.col("m")).alias("median"), down(F.col("v")).alias("var"))
 
 
 def kept_functions(evidence: DataFrame, good_functions: DataFrame, good_roles: DataFrame, roles: DataFrame, ignored: DataFrame, min_reps: int = 3) -> DataFrame:
@@ -112,14 +112,15 @@ def hits(seqs: DataFrame, sigs: DataFrame, k: int = K) -> DataFrame:
     return rows.join(sigs, "kmer")
 
 
-def table(rows: DataFrame, sigs: DataFrame, otus: DataFrame) -> DataFrame:
+def table(rows: DataFrame, sigs: DataFrame, otus: DataFrame | None = None) -> DataFrame:
     """Signatures (kmer, function, weight, ...) as a lookup table: with the mean length, the distance from the end and the otu.
 
-    otus (id, otu): a k-mer's otu is the commonest among its function's rows (ties: the least).
+    otus (id, otu), unless rows have an otu already: a k-mer's otu is the commonest among its function's rows (ties: the least). All
+    that is told of a k-mer adds up over the rows first and meets the signatures then.
     """
-    own = rows.join(sigs.select("kmer", "function"), ["kmer", "function"], "left_semi")
-    per = own.join(otus, "id").groupBy("kmer", "otu").agg(F.count("*").alias("n")).groupBy("kmer").agg(F.min(F.struct((-F.col("n")).alias("m"), "otu")).alias("x"))
-    return sigs.join(length_stats(rows, sigs), "kmer").join(offset_median(rows, sigs), "kmer").join(per.select("kmer", F.col("x.otu").alias("otu")), "kmer", "left")
+    own = rows if otus is None else rows.join(otus, "id")
+    per = own.groupBy("kmer", "function", "otu").agg(F.count("*").alias("n")).groupBy("kmer", "function").agg(F.min(F.struct((-F.col("n")).alias("m"), "otu")).alias("x"))
+    return sigs.join(length_stats(rows, sigs), "kmer").join(offset_median(rows, sigs), "kmer").join(per.select("kmer", "function", F.col("x.otu").alias("otu")), ["kmer", "function"], "left")
 
 
 def call_windows(seqs: DataFrame, k: int = K, amino: bool = False) -> DataFrame:

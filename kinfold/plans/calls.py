@@ -30,9 +30,9 @@ co AS (SELECT id, substr(piece, i, 8) AS kmer FROM (SELECT id, piece, behind, un
 
 def lookup_table(t: Tables) -> DataFrame:
     """Signatures with weight, mean length, distance from the end and otu: learnt once, written once."""
-    rows, sigs = learnt(t)
+    rows, sigs = learnt(t, otu=True)
     weighed = G.weigh(sigs, rows, proteins(t)).withColumn("weight", F.round("weight", 6))
-    return cut_lineage(G.table(rows, weighed, t.documents.select(F.col("doc_id").alias("id"), F.col("source").alias("otu"))))
+    return cut_lineage(G.table(rows, weighed))
 
 
 def document_hits(t: Tables) -> DataFrame:

@@ -35,12 +35,12 @@ weights AS (SELECT kmer, function, n_function, n_total, ln((n_function + 1) / (n
 
 
 def proteins(t: Tables) -> DataFrame:
-    return t.documents.select(F.col("doc_id").alias("id"), F.col("lang").alias("function"), F.col("text").alias("seq"))
+    return t.documents.select(F.col("doc_id").alias("id"), F.col("lang").alias("function"), F.col("text").alias("seq"), F.col("source").alias("otu"))
 
 
-def learnt(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Occurrences of k-mers and the signatures among them: both are written once, whatever reads them how often."""
-    rows = cut_lineage(G.occurrences(proteins(t)))
+def learnt(t: Tables, otu: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Occurrences of k-mers (with their otu, if wanted) and the signatures among them: both are written once, whatever reads them how often."""
+    rows = cut_lineage(G.occurrences(proteins(t), S.K, *(["otu"] if otu else [])))
     return rows, cut_lineage(G.signatures(rows))
 
 
