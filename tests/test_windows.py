@@ -29,3 +29,14 @@ def test_windows_are_found_in_bytes_of_many_texts(spark):
 def test_windows_carry_other_columns(spark):
     df = spark.createDataFrame([(1, None, "ACDEFGHIK"), (2, "f", "no windows b"), (3, "g", "ACDEFGHI")], "id long, function string, seq string")
     assert sorted(map(tuple, S.valid_windows(df, "seq").collect())) == [(1, None, 0, "ACDEFGHI"), (1, None, 1, "CDEFGHIK"), (3, "g", 0, "ACDEFGHI")]
+
+
+def test_rows_that_carry_their_otu_make_the_same_table(spark):
+    """Rows that carry their otu need no join with it, and make the same lookup table."""
+    from kinfold.operators import signatures as G
+
+    seqs = spark.createDataFrame([(i, "fg"[i % 3 == 0], "ACDEFGHIKL" * (1 + i % 4), f"o{i % 2}") for i in range(12)], "id long, function string, seq string, otu string")
+    rows = G.occurrences(seqs, S.K, "otu")
+    sigs = G.signatures(rows, 0.5)
+    table = G.table(rows, sigs)
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, G.table(rows.drop("otu"), sigs, seqs.select("id", "otu")).collect()))
