@@ -45,46 +45,89 @@ def valid_kmer(kmer: Column, k: int = K) -> Column:
     return kmer.rlike(f"^[{AMINO}{AMINO.lower()}]{{{k}}}$")
 
 
+def _found(texts: pa.Array, k: int, calling: bool, together: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(number of the text, pos, first byte, bytes) of all windows of k amino acid letters, for texts of about `together` bytes at a time.
+
+    Byte by byte, bytes that start a run of k letters are found by doubling; pos counts letters, so that bytes which go on a letter are left out.
+    """
+    letter = np.isin(np.arange(256), list((AMINO + AMINO.lower()).encode()))
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    held = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + together, "right")) - 1)
+        data, edge = held[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+        run, span = letter[data], 1
+        while span < k:
+            step = min(span, k - span)
+            run, span = run[: max(0, len(run) - step)] & run[step:], span + step
+        p = np.flatnonzero(run)
+        row = np.searchsorted(edge, p, "right") - 1
+        good = p + k <= edge[row + 1]  # not across two texts
+        if calling:
+            behind = data[np.minimum(p + k, len(data) - 1)]
+            good &= (p + k >= edge[row + 1]) | ((behind != ord("X")) & (behind != ord("*")))
+        p, row = p[good], row[good]
+        more = np.flatnonzero((data & 0xC0) == 0x80)  # bytes that go on a letter
+        pos = p - np.searchsorted(more, p) - (edge[:-1] - np.searchsorted(more, edge[:-1]))[row]
+        yield row + at, pos.astype(np.int32), p, data
+        at = to
+
+
 def valid_windows(df: DataFrame, seq: str, k: int = K, calling: bool = False, most: int = 100_000, together: int = 2_000_000) -> DataFrame:
     """df without `seq`, with a row per window of k amino acid letters of either case: pos (from 0) and kmer.
 
-    The rows of explode_kmers() that valid_kmer() keeps, found by counts of such letters over the bytes of many texts at
-    once. If `calling`, the window that ends just before `*` or `X` is left out, as call_kmers() does.
+    The rows of explode_kmers() that valid_kmer() keeps, found in the bytes of many texts at once. If `calling`, the window
+    that ends just before `*` or `X` is left out, as call_kmers() does.
     """
     keep = [f for f in df.schema.fields if f.name != seq]
     schema = T.StructType([*keep, T.StructField("pos", T.IntegerType()), T.StructField("kmer", T.StringType())])
-    letter = np.isin(np.arange(256), list((AMINO + AMINO.lower()).encode()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rest = batch.select([f.name for f in keep])
-            texts = pc.fill_null(batch.column(seq).cast(pa.large_string()), "")
-            offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-            held = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
-            at = 0
-            while at < len(texts):  # texts of about so many bytes are looked at together
-                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + together, "right")) - 1)
-                data, edge = held[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
-                upto = np.append(np.int32(0), np.cumsum(letter[data], dtype=np.int32))
-                p = np.flatnonzero(upto[k:] - upto[:-k] == k) if len(data) >= k else np.zeros(0, np.int64)
-                row = np.searchsorted(edge, p, "right") - 1
-                good = p + k <= edge[row + 1]  # not across two texts
-                if calling:
-                    behind = data[np.minimum(p + k, len(data) - 1)]
-                    good &= (p + k >= edge[row + 1]) | ((behind != ord("X")) & (behind != ord("*")))
-                p, row = p[good], row[good]
-                starts = np.append(np.int32(0), np.cumsum((data & 0xC0) != 0x80, dtype=np.int32))  # of letters, in front of each byte
-                pos = starts[p] - starts[edge[row]]
+            for row, pos, p, data in _found(batch.column(seq), k, calling, together):
                 for i in range(0, len(p), most):
                     own = p[i : i + most]
                     letters = np.lib.stride_tricks.sliding_window_view(data, k)[own].tobytes()
                     kmer = pa.StringArray.from_buffers(len(own), pa.py_buffer(np.arange(0, k * len(own) + 1, k, dtype=np.int32)), pa.py_buffer(letters))
-                    yield pa.RecordBatch.from_arrays([*rest.take(pa.array(row[i : i + most] + at)).columns, pa.array(pos[i : i + most]), kmer], names=[*rest.schema.names, "pos", "kmer"])
-                at = to
+                    yield pa.RecordBatch.from_arrays([*rest.take(pa.array(row[i : i + most])).columns, pa.array(pos[i : i + most]), kmer], names=[*rest.schema.names, "pos", "kmer"])
 
     return df.mapInArrow(cut, schema)
 
 
+def window_lists(df: DataFrame, seq: str, k: int = K, calling: bool = False, most: int = 100_000, together: int = 2_000_000) -> DataFrame:
+    """The windows of valid_windows() as lists: df without `seq`, with a row per sequence that has any (one for each `most`): pos and
+    kmers, which holds the bytes of up to eight letters as a number (the first is the highest; letters() turns it back)."""
+    if k > 8:
+        raise ValueError("a number holds up to eight letters")
+    keep = [f for f in df.schema.fields if f.name != seq]
+    schema = T.StructType([*keep, T.StructField("pos", T.ArrayType(T.IntegerType())), T.StructField("kmers", T.ArrayType(T.LongType()))])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = batch.select([f.name for f in keep])
+            for row, pos, p, data in _found(batch.column(seq), k, calling, together):
+                if not len(p):
+                    continue
+                first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+                runs = np.diff(np.append(first, len(row)))
+                starts = np.concatenate([np.arange(i, i + n, most) for i, n in zip(first, runs, strict=True)]) if runs.max() > most else first
+                wide = np.zeros((len(p), 8), np.uint8)
+                wide[:, 8 - k :] = np.lib.stride_tricks.sliding_window_view(data, k)[p]
+                bounds = pa.array(np.append(starts, len(row)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(bounds, pa.array(v)) for v in (pos, wide.view(">i8").ravel().astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([*rest.take(pa.array(row[starts])).columns, *lists], names=[*rest.schema.names, "pos", "kmers"])
+
+    return df.mapInArrow(cut, schema)
+
+
+def letters(kmer: Column) -> Column:
+    """The letters of a k-mer of window_lists()."""
+    return F.unhex(F.hex(kmer)).cast("string")
+
+
 def call_kmers(df: DataFrame, seq: str, k: int = K) -> DataFrame:
     """df with a row per window that calling looks at: pos (from 0) and kmer.
 

@@ -52,11 +52,16 @@ def two_best(rows: DataFrame) -> DataFrame:
 
 
 def signatures(rows: DataFrame, share: float = 0.8) -> DataFrame:
-    """(kmer, function, n_function, n_total) of the k-mers of which one function has at least `share` of the occurrences.
+    """(kmer, function, n_function, n_total) of the k-mers of which one function has at least `share` of the occurrences."""
+    return shared(kmer_counts(rows), share)
+
+
+def shared(counts: DataFrame, share: float = 0.8) -> DataFrame:
+    """signatures() from the counts (kmer, function, n) of occurrences.
 
     Counts add up before the shuffle; the best function is the one with most occurrences, then the least by name.
     """
-    per = kmer_counts(rows).groupBy("kmer").agg(F.sum("n").alias("n_total"), F.min(F.struct((-F.col("n")).alias("m"), "function")).alias("b"))
+    per = counts.groupBy("kmer").agg(F.sum("n").alias("n_total"), F.min(F.struct((-F.col("n")).alias("m"), "function")).alias("b"))
     return per.select("kmer", F.col("b.function").alias("function"), (-F.col("b.m")).alias("n_function"), "n_total").where(F.col("n_function") >= share * F.col("n_total"))
 
 
@@ -70,7 +75,8 @@ def weigh(sigs: DataFrame, rows: DataFrame, seqs: DataFrame) -> DataFrame:
     of = seqs.where(F.col("function").isNotNull() & (F.col("function") != "")).groupBy("function").agg(F.count("*").alias("nfj"))
     n, f = F.col("n_total"), F.col("n_function")
     weight = F.log((f + 1) / (n - f + 1)) + F.log((nsf - F.col("nfj") + ks) / (F.col("nfj") + ks))
-    return sigs.join(of, "function").select("kmer", "function", "n_function", "n_total", weight.alias("weight"))
+    more = [c for c in sigs.columns if c not in ("kmer", "function", "n_function", "n_total")]
+    return sigs.join(of, "function").select("kmer", "function", "n_function", "n_total", weight.alias("weight"), *more)
 
 
 def offset_median(rows: DataFrame, sigs: DataFrame) -> DataFrame:

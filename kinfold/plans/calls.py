@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from kinfold.functions import annotations as A
 from kinfold.functions import sequences as S
 from kinfold.operators import calling, reports
-from kinfold.operators import signatures as G
+from kinfold.operators import learning as L
 from kinfold.operators.graph import cut_lineage
 from kinfold.operators.numbering import numbered
 
-from .learning import _LETTERS, _WEIGHTS, learnt, proteins
+from .learning import _LETTERS, _WEIGHTS, proteins
 from .registry import Tables, query
 
 _LOOKUP = f"""{_WEIGHTS},
@@ -28,15 +28,21 @@ co AS (SELECT id, substr(piece, i, 8) AS kmer FROM (SELECT id, piece, behind, un
 """
 
 
+def coded_table(t: Tables) -> DataFrame:
+    """Signatures (k-mers as numbers) with weight, mean length, distance from the end and otu: learnt once, written once."""
+    rows = cut_lineage(L.windows(proteins(t), S.K, "otu"))
+    known = cut_lineage(L.told(rows))
+    weighed = L.weigh(known, rows, proteins(t)).withColumn("weight", F.round("weight", 6))
+    return cut_lineage(weighed.join(L.commonest(rows, "otu"), ["kmer", "function"], "left"))
+
+
 def lookup_table(t: Tables) -> DataFrame:
-    """Signatures with weight, mean length, distance from the end and otu: learnt once, written once."""
-    rows, sigs = learnt(t, otu=True)
-    weighed = G.weigh(sigs, rows, proteins(t)).withColumn("weight", F.round("weight", 6))
-    return cut_lineage(G.table(rows, weighed))
+    """The signatures of coded_table() in letters."""
+    return coded_table(t).withColumn("kmer", S.letters(F.col("kmer")))
 
 
 def document_hits(t: Tables) -> DataFrame:
-    return G.call_hits(proteins(t), lookup_table(t), amino=True)
+    return L.call_hits(proteins(t), coded_table(t))
 
 
 @query(f"""WITH {_LOOKUP} SELECT id, function, count(*) AS hits, round(sum(weight), 3) AS weight, sum(mean)::BIGINT AS means, sum(from_end)::BIGINT AS from_end, count(DISTINCT otu) AS otus FROM co JOIN lookup USING (kmer) GROUP BY ALL""")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kinfold.functions import annotations as A
 from kinfold.functions import sequences as S
 from kinfold.operators import calling, nr, reports
+from kinfold.operators import learning as L
 from kinfold.operators import signatures as G
 from kinfold.operators.graph import cut_lineage
 
@@ -38,10 +39,14 @@ def proteins(t: Tables) -> DataFrame:
     return t.documents.select(F.col("doc_id").alias("id"), F.col("lang").alias("function"), F.col("text").alias("seq"), F.col("source").alias("otu"))
 
 
-def learnt(t: Tables, otu: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Occurrences of k-mers (with their otu, if wanted) and the signatures among them: both are written once, whatever reads them how often."""
-    rows = cut_lineage(G.occurrences(proteins(t), S.K, *(["otu"] if otu else [])))
-    return rows, cut_lineage(G.signatures(rows))
+def learnt(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Lists of windows and the signatures among them (k-mers as numbers): both are written once, whatever reads them how often."""
+    rows = cut_lineage(L.windows(proteins(t)))
+    return rows, cut_lineage(G.shared(L.counts(rows)))
+
+
+def _spelt(df: DataFrame) -> DataFrame:
+    return df.withColumn("kmer", S.letters(F.col("kmer")))
 
 
 @query(f"WITH {_ROWS} SELECT id, pos::INTEGER AS pos, kmer FROM o")
@@ -61,34 +66,34 @@ def kmer_valid_filter(t: Tables) -> DataFrame:
 
 @query(f"WITH {_ROWS} SELECT kmer, function, count(*) AS n FROM o GROUP BY ALL")
 def kmer_counts(t: Tables) -> DataFrame:
-    return G.kmer_counts(G.occurrences(proteins(t)))
+    return _spelt(L.counts(L.windows(proteins(t))))
 
 
 @query(f"WITH {_SIGS} SELECT * FROM sigs")
 def signature_kmers(t: Tables) -> DataFrame:
-    return learnt(t)[1]
+    return _spelt(G.shared(L.counts(L.windows(proteins(t)))))
 
 
 @query(f"WITH {_WEIGHTS} SELECT kmer, function, n_function, n_total, round(weight, 6) AS weight, greatest(0, least(255, floor(30 * round(weight, 6))))::INTEGER AS byte FROM weights")
 def signature_weights(t: Tables) -> DataFrame:
     rows, sigs = learnt(t)
-    return G.weigh(sigs, rows, proteins(t)).withColumn("weight", F.round("weight", 6)).withColumn("byte", A.clamp_byte(F.col("weight")))
+    return _spelt(L.weigh(sigs, rows, proteins(t))).withColumn("weight", F.round("weight", 6)).withColumn("byte", A.clamp_byte(F.col("weight")))
 
 
 @query(f"WITH {_SIGS} SELECT kmer, list_sort(list(len - pos))[(count(*) // 2 + 1)::BIGINT]::INTEGER AS avg_from_end FROM o WHERE kmer IN (SELECT kmer FROM sigs) GROUP BY kmer")
 def signature_offset_median(t: Tables) -> DataFrame:
-    return G.offset_median(*learnt(t))
+    return _spelt(L.told(L.windows(proteins(t)), lengths=False)).select("kmer", "avg_from_end")
 
 
 @query(f"""WITH {_SIGS} SELECT o.kmer, floor(avg(len) + 1e-6)::BIGINT AS mean, floor(quantile_cont(len, 0.5) + 1e-6)::BIGINT AS median, floor(var_pop(len) + 1e-6)::BIGINT AS var
 FROM o JOIN sigs USING (kmer, function) GROUP BY o.kmer""")
 def signature_length_stats(t: Tables) -> DataFrame:
-    return G.length_stats(*learnt(t))
+    return _spelt(L.told(L.windows(proteins(t)), ends=False)).select("kmer", "mean", "median", "var")
 
 
 @query(f"WITH {_SIGS}, f AS (SELECT function, row_number() OVER (ORDER BY function) - 1 AS idx FROM (SELECT DISTINCT lang AS function FROM documents WHERE lang IS NOT NULL AND lang <> '')) SELECT f.idx::INTEGER AS idx, function, count(*) AS n_signatures FROM sigs JOIN f USING (function) GROUP BY ALL")
 def signatures_per_function(t: Tables) -> DataFrame:
-    _, sigs = learnt(t)
+    sigs = G.shared(L.counts(L.windows(proteins(t))))
     index = G.function_index(proteins(t).where("function is not null and function <> ''"))
     return sigs.groupBy("function").agg(F.count("*").alias("n_signatures")).join(index, "function").select("idx", "function", "n_signatures")
 
@@ -97,9 +102,9 @@ def signatures_per_function(t: Tables) -> DataFrame:
 def hit_lookup(t: Tables) -> DataFrame:
     """Hits of each sequence by the function that its k-mers sign for."""
     rows, sigs = learnt(t)
-    found = G.hits(proteins(t), G.weigh(sigs, rows, proteins(t)).select("kmer", "function", F.round("weight", 6).alias("weight")))
-    own = proteins(t).select("id", F.col("function").alias("own")).where("own is not null and own <> ''")
-    return found.groupBy("id", "function").agg(F.count("*").alias("hits"), F.round(F.sum("weight"), 3).alias("weight")).join(own, "id")
+    each = rows.select("id", F.col("function").alias("own"), F.explode("kmers").alias("kmer"))
+    found = each.join(L.weigh(sigs, rows, proteins(t)).select("kmer", "function", F.round("weight", 6).alias("weight")), "kmer")
+    return found.groupBy("id", "own", "function").agg(F.count("*").alias("hits"), F.round(F.sum("weight"), 3).alias("weight"))
 
 
 @query("""WITH e AS (SELECT l_partkey AS function, l_suppkey AS genome FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')), n AS (SELECT function, count(DISTINCT genome) AS n_genomes FROM e GROUP BY function)
