@@ -11,6 +11,7 @@ from collections import Counter
 from collections.abc import Iterator
 from statistics import median
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,14 +47,17 @@ class Folder:
         self.regions: list[dict] = []
         self.otus: Counter = Counter()
 
+    def _emit(self, start: int, stop: int, function: str, weights: list[float], means: list[float], otus: list) -> None:
+        weight = float(sum(weights))
+        if means and len(means) >= self.o.min_hits and weight >= self.o.min_weighted:
+            mid = median(means)
+            self.regions.append({"start": start, "stop": stop + 7, "n": len(means), "function": function, "weight": weight, "med_len": float(int(mid)), "mad": float(median([abs(m - mid) for m in means]))})
+            self.otus.update([u for u in otus[:-1] if u is not None])
+
     def _flush(self) -> None:
         run, current = self.run, self.current
         own = [h for h in run if h[1] == current]
-        weight = float(sum(h[2] for h in own))
-        if own and len(own) >= self.o.min_hits and weight >= self.o.min_weighted:
-            mid = median(h[3] for h in own)
-            self.regions.append({"start": run[0][0], "stop": own[-1][0] + 7, "n": len(own), "function": current, "weight": weight, "med_len": float(int(mid)), "mad": float(median(abs(h[3] - mid) for h in own))})
-            self.otus.update(h[5] for h in own[:-1] if len(h) > 5 and h[5] is not None)
+        self._emit(run[0][0], own[-1][0] if own else run[0][0], current, [h[2] for h in own], [h[3] for h in own], [h[5] if len(h) > 5 else None for h in own])
         if len(run) > 1 and run[-1][1] == run[-2][1] != current:
             self.run, self.current = run[-2:], run[-1][1]
         else:
@@ -73,9 +77,15 @@ class Folder:
         if len(self.run) > 1 and h[1] != self.current and self.run[-2][1] == h[1]:
             self._flush()
 
+    def stretch(self, pos: list[int], function: str, weights: list[float], means: list[float], otus: list) -> None:
+        """As add() of each hit, for hits of one function, none far from the next, with a gap (or nothing) in front of them and behind."""
+        self.end()
+        self._emit(pos[0], pos[-1], function, weights, means, otus)
+
     def end(self) -> list[dict]:
         if len(self.run) >= self.o.min_hits:
             self._flush()
+        self.run = []
         return self.regions
 
 
@@ -169,7 +179,8 @@ def folded(hits: DataFrame, o: Options = Options(), ambiguous: bool = False, lea
     """(id, regions, call, otus) of every sequence with hits (id string, pos, function, weight, mean, from_end, and otu if there is one).
 
     otus: the `top` commonest of the emitted regions' hits (ties: the least). Hits stream through a task in order of id and
-    place, so a task holds one run of hits at a time, however long a sequence is.
+    place, so a task holds a batch and one run of hits at a time, however long a sequence is. Stretches of one function between two gaps
+    are taken as they are, others hit by hit.
     """
     order = ["id", "pos", "function"]
     cols = [*order, "weight", "mean", "from_end"]
@@ -183,15 +194,36 @@ def folded(hits: DataFrame, o: Options = Options(), ambiguous: bool = False, lea
         best = sorted(f.otus.items(), key=lambda x: (-x[1], x[0]))[:top]
         return {"id": id_, "regions": found, "call": dict(zip(("function", "score", "offset", "weighted"), got, strict=True)) if got else None, "otus": [{"otu": k, "n": n} for k, n in best]}
 
+    def values(column: pa.Array) -> list:
+        if pa.types.is_primitive(column.type):
+            return column.to_pylist() if column.null_count else column.to_numpy().tolist()
+        own = column.dictionary_encode(null_encoding="encode")  # a text is made once a batch
+        return np.array([*own.dictionary.to_pylist(), None], object)[own.indices.to_numpy()].tolist()
+
+    def starts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """First places of stretches, which end with a sequence or at a gap, and whether each is of one function."""
+        code = lambda c: batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        pos, function = batch.column("pos").to_numpy(), np.append(0, np.cumsum(np.diff(code("function")) != 0))
+        first = np.flatnonzero(np.append(True, (np.diff(code("id")) != 0) | (np.diff(pos) > o.max_gap)))
+        return first, function[np.append(first[1:], len(pos)) - 1] == function[first]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, f, out = None, None, []
         for batch in batches:
-            for h in zip(*(batch.column(c).to_pylist() for c in ("id", "pos", "function", "weight", "mean", "from_end", "otu")), strict=True):
-                if f is None or h[0] != now:
+            if not len(batch):
+                continue
+            id_, pos, function, weight, mean, from_end, otu = (values(batch.column(c)) for c in ("id", "pos", "function", "weight", "mean", "from_end", "otu"))
+            first, one = starts(batch)
+            for i, (a, b) in enumerate(zip(first.tolist(), [*first[1:].tolist(), len(id_)], strict=True)):
+                if f is None or id_[a] != now:
                     if f is not None:
                         out.append(close(now, f))
-                    now, f = h[0], Folder(o)
-                f.add(h[1:])
+                    now, f = id_[a], Folder(o)
+                if one[i] and not o.order_constraint and b < len(id_) and (i or not f.run):
+                    f.stretch(pos[a:b], function[a], weight[a:b], mean[a:b], otu[a:b])
+                else:  # a stretch may go on from or in another batch
+                    for h in zip(*(x[a:b] for x in (pos, function, weight, mean, from_end, otu)), strict=True):
+                        f.add(h)
             if len(out) >= 1000:
                 yield pa.RecordBatch.from_pylist(out, schema=arrow)
                 out = []
