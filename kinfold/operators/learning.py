@@ -11,15 +11,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions.sequences import K, window_lists
 
 from . import signatures
+from .graph import cut_lineage
 
 #: Windows that a task puts together at a time.
 TOGETHER = 2_000_000
+#: Windows of a sequence that are looked up first.
+FIRST = 4
 
 
 def windows(seqs: DataFrame, k: int = K, *more: str) -> DataFrame:
@@ -83,9 +86,26 @@ def counts(lists: DataFrame, *by: str, together: int = TOGETHER) -> DataFrame:
     return each.groupBy("kmer", *by).agg(F.sum("n").alias("n"))
 
 
+def holders(sigs: DataFrame, lists: DataFrame, first: int = FIRST) -> Column:
+    """How many sequences (distinct ids) hold a signature. Both tables should be written.
+
+    The first few windows of a sequence are looked up; all of them only if none of those is a signature. Few sequences are left by then, so
+    that hardly more than these windows is dealt by k-mer.
+    """
+    named = lists.where("id is not null")
+
+    def held(rows: DataFrame, kmers: Column) -> DataFrame:
+        return rows.select("id", F.explode(F.array_distinct(kmers)).alias("kmer")).join(sigs.select("kmer"), "kmer", "left_semi").select("id").distinct()
+
+    some = cut_lineage(held(named, F.slice("kmers", 1, first)))
+    rest = cut_lineage(named.select("id").distinct().join(some, "id", "left_anti"))
+    more = held(named.join(rest, "id", "left_semi"), F.col("kmers"))
+    return some.agg(F.count("*")).scalar() + more.agg(F.count("*")).scalar()
+
+
 def weigh(sigs: DataFrame, lists: DataFrame, seqs: DataFrame) -> DataFrame:
     """Signatures with their log-odds weight, as signatures.weigh()."""
-    return signatures.weigh(sigs, lists.select("id", F.explode("kmers").alias("kmer")), seqs)
+    return signatures.weighted(sigs, holders(sigs, lists), seqs)
 
 
 def commonest(lists: DataFrame, column: str) -> DataFrame:

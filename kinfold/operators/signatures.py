@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.functions.sequences import K, call_kmers, valid_windows
@@ -70,7 +70,11 @@ def weigh(sigs: DataFrame, rows: DataFrame, seqs: DataFrame) -> DataFrame:
 
     Totals are scalar subqueries and one small table: kept k-mers, sequences that hold one (distinct), sequences of each function (all).
     """
-    nsf = rows.select("id", "kmer").join(sigs.select("kmer"), "kmer", "left_semi").agg(F.countDistinct("id")).scalar()
+    return weighted(sigs, rows.select("id", "kmer").join(sigs.select("kmer"), "kmer", "left_semi").agg(F.countDistinct("id")).scalar(), seqs)
+
+
+def weighted(sigs: DataFrame, nsf: Column, seqs: DataFrame) -> DataFrame:
+    """weigh() where the number of sequences that hold a signature is known."""
     ks = sigs.agg(F.count("*")).scalar()
     of = seqs.where(F.col("function").isNotNull() & (F.col("function") != "")).groupBy("function").agg(F.count("*").alias("nfj"))
     n, f = F.col("n_total"), F.col("n_function")
